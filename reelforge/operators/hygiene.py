@@ -70,15 +70,16 @@ def impute_valid_mean(df: DataFrame, columns: list[str], upper: Mapping[str, flo
     aggregate over the frame; results are double.
     """
     upper = upper or {}
-    means = valid_means(df, columns, upper if bounded_mean else None)
+    # attached once: a scalar subquery repeats its plan wherever it is mentioned
+    with_means = df.withColumn("_means", valid_means(df, columns, upper if bounded_mean else None))
     filled = {}
     for name in columns:
         value = F.col(name).cast("double")
         usable = value.isNotNull() & (value >= 0)
         if name in upper:
             usable = usable & (value <= F.lit(upper[name]))
-        filled[name] = F.when(usable, value).otherwise(means[name])
-    return df.withColumns(filled)
+        filled[name] = F.when(usable, value).otherwise(F.col("_means")[name])
+    return with_means.withColumns(filled).drop("_means")
 
 
 def clean_titles(df: DataFrame) -> DataFrame:

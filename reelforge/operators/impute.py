@@ -18,12 +18,17 @@ def median_values(df: DataFrame, columns: list[str], exact: bool = True) -> Colu
     return df.agg(F.struct(*picked).alias("medians")).scalar()
 
 
+def fill_with(df: DataFrame, columns: list[str], values: Column) -> DataFrame:
+    """Replace null and NaN by the fields of a struct, such as a fitted scalar subquery."""
+    # attached once: a scalar subquery repeats its plan wherever it is mentioned
+    return df.withColumn("_values", values).withColumns({
+        name: F.coalesce(nan_to_null(F.col(name).cast("double")), F.col("_values")[name]) for name in columns
+    }).drop("_values")
+
+
 def impute_median(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
     """Replace null and NaN by the column's median, exact or within a rank error of 0.1 %."""
-    medians = median_values(df, columns, exact)
-    return df.withColumns({
-        name: F.coalesce(nan_to_null(F.col(name).cast("double")), medians[name]) for name in columns
-    })
+    return fill_with(df, columns, median_values(df, columns, exact))
 
 
 def scaling(df: DataFrame, columns: list[str]) -> Column:
@@ -52,23 +57,24 @@ def standard(column: str, fitted: Column) -> Column:
     return F.when(value.isNull() | spread.isNotNull(), (value - measures["mean"]) / spread).otherwise(0.0)
 
 
-def scale_min_max(df: DataFrame, columns: list[str], fitted: Column | None = None) -> DataFrame:
+def _scaled(df: DataFrame, columns: list[str], fitted: Column | None, scalers: dict) -> DataFrame:
     fitted = scaling(df, columns) if fitted is None else fitted
-    return df.withColumns({name: min_max(name, fitted) for name in columns})
+    return df.withColumn("_fitted", fitted).withColumns({
+        name + suffix: scaler(name, F.col("_fitted")) for suffix, scaler in scalers.items() for name in columns
+    }).drop("_fitted")
+
+
+def scale_min_max(df: DataFrame, columns: list[str], fitted: Column | None = None) -> DataFrame:
+    return _scaled(df, columns, fitted, {"": min_max})
 
 
 def scale_standard(df: DataFrame, columns: list[str], fitted: Column | None = None) -> DataFrame:
-    fitted = scaling(df, columns) if fitted is None else fitted
-    return df.withColumns({name: standard(name, fitted) for name in columns})
+    return _scaled(df, columns, fitted, {"": standard})
 
 
 def scale_both(df: DataFrame, columns: list[str], fitted: Column | None = None) -> DataFrame:
     """The same columns scaled twice, as ``<name>_minmax`` and ``<name>_standard``."""
-    fitted = scaling(df, columns) if fitted is None else fitted
-    return df.withColumns({
-        **{f"{name}_minmax": min_max(name, fitted) for name in columns},
-        **{f"{name}_standard": standard(name, fitted) for name in columns},
-    })
+    return _scaled(df, columns, fitted, {"_minmax": min_max, "_standard": standard})
 
 
 def in_holdout(key: str, percent: int = 20) -> Column:
