@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from reelforge.constants import GENRES
 from reelforge.functions import nested
-from reelforge.operators import credits, documents, hygiene, impute, series
+from reelforge.operators import credits, documents, hygiene, impute, knn, series
 from reelforge.plans import sql_views as V
 from reelforge.plans.bindings import (
     TYPE_GENRES, countries, directing, features, responses, table, title_genres, title_id, titles, writing,
@@ -286,3 +286,32 @@ def wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     headers = events.select("user_id").distinct().select(source, line(F.lit("date"), names))
     rows = daily.select(source, line(F.col("date").cast("string"), [F.coalesce(name, F.lit("")) for name in TYPES]))
     return wide_lines_to_long(headers.unionByName(rows), "source", "line", width=len(TYPES) + 1)
+
+
+SCALED_SQL = "scaled AS (SELECT row_id, " + ", ".join(
+    f"({value} - min({value}) OVER ())::DOUBLE / (max({value}) OVER () - min({value}) OVER ())::DOUBLE AS {x}"
+    for value, x in [("start_year", "a"), ("minutes", "b"), ("votes", "c")]) + " FROM clean)"
+
+
+def _nearest_sql(target: str) -> str:
+    """The five nearest donors of every row that misses one column, by comparing all pairs."""
+    present = " + ".join(f"(r.{x} IS NOT NULL AND d.{x} IS NOT NULL)::INTEGER" for x in "abc")
+    squares = " + ".join(f"coalesce((r.{x} - d.{x}) * (r.{x} - d.{x}), 0)" for x in "abc")
+    return f"""{target}_pairs AS (
+      SELECT r.row_id, d.row_id AS donor, d.{target} AS value, (3::DOUBLE / ({present})) * ({squares}) AS distance
+      FROM scaled r JOIN scaled d ON r.{target} IS NULL AND d.{target} IS NOT NULL WHERE {present} > 0),
+    {target}_near AS (SELECT row_id, avg(value) AS {target}_value FROM (SELECT * FROM {target}_pairs
+      QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY distance, donor) <= 5) GROUP BY row_id)"""
+
+
+@query("knn_impute", f"""
+WITH {V.CLEAN}, {SCALED_SQL}, {_nearest_sql("a")}, {_nearest_sql("b")}, {_nearest_sql("c")}
+SELECT s.row_id, round(coalesce(a, a_value, (SELECT avg(a) FROM scaled)), 6) AS "startYear",
+  round(coalesce(b, b_value, (SELECT avg(b) FROM scaled)), 6) AS "runtimeMinutes",
+  round(coalesce(c, c_value, (SELECT avg(c) FROM scaled)), 6) AS "numVotes"
+FROM scaled s LEFT JOIN a_near USING (row_id) LEFT JOIN b_near USING (row_id) LEFT JOIN c_near USING (row_id)""")
+def knn_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years, run times and votes scaled to [0, 1], missing ones taken from the five nearest titles."""
+    scaled = impute.scale_min_max(scaling_input(spark, sf_dir), list(SCALED))
+    filled = knn.knn_impute(scaled, "row_id", list(SCALED))
+    return filled.select("row_id", *[F.round(name, 6).alias(name) for name in SCALED])
