@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelforge.operators.joins import HOT_ROWS, attach_counts
+from reelforge.operators.joins import attach_counts
 from reelforge.operators.profile import group_counts
 
 
@@ -12,16 +12,16 @@ def movies_per_person(edges: DataFrame, person: str) -> DataFrame:
     return group_counts(edges, person, "movie", f"{person}_movie_count")
 
 
-def _per_title(edges: DataFrame, person: str, hot_rows: int) -> DataFrame:
+def _per_title(edges: DataFrame, person: str, **limits: int) -> DataFrame:
     """Per title: the largest movie count among its people, and the number of people."""
     size = f"{person}_movie_count"
-    counted = attach_counts(edges, movies_per_person(edges, person), person, size, hot_rows=hot_rows)
+    counted = attach_counts(edges, movies_per_person(edges, person), person, size, **limits)
     return counted.where(F.col("movie").isNotNull()).groupBy("movie").agg(
         F.max(size).alias(size), F.count(F.lit(1)).alias(f"{person}_count")
     )
 
 
-def credit_pairs_per_writer(writing: DataFrame, directing: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def credit_pairs_per_writer(writing: DataFrame, directing: DataFrame, **limits: int) -> DataFrame:
     """Writers left-joined with directors on the title, without writing out the product.
 
     Each writer row carries ``n_directors``, the directors matched, and ``n_joined_rows``, the rows that the
@@ -29,25 +29,25 @@ def credit_pairs_per_writer(writing: DataFrame, directing: DataFrame, hot_rows:
     follows from these; the product itself grows with the square of a hot title's credits.
     """
     directors = group_counts(directing, "movie", "director", "n_directors")
-    joined = attach_counts(writing, directors, "movie", "n_directors", how="left", hot_rows=hot_rows)
+    joined = attach_counts(writing, directors, "movie", "n_directors", how="left", **limits)
     return joined.withColumns({
         "n_directors": F.coalesce("n_directors", F.lit(0)),
         "n_joined_rows": F.greatest(F.coalesce("n_directors", F.lit(0)), F.lit(1)),
     })
 
 
-def credit_features(directing: DataFrame, writing: DataFrame, mode: str = "people",
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
+def credit_features(directing: DataFrame, writing: DataFrame, mode: str = "people", **limits: int) -> DataFrame:
     """Per title: largest movie count and number of directors and of writers.
 
     ``people`` counts different people on each side; a title without people on one side has zeros there.
     ``pairs`` counts the (writer, director) pairs of the title on both sides and leaves out titles that
     lack either; since those are all combinations, the count is the product of the two sides' rows.
+    ``limits`` are those of ``attach_counts``.
     """
     if mode == "people":
         directing, writing = directing.distinct(), writing.distinct()
-    directors = _per_title(directing, "director", hot_rows)
-    writers = _per_title(writing, "writer", hot_rows)
+    directors = _per_title(directing, "director", **limits)
+    writers = _per_title(writing, "writer", **limits)
     if mode == "pairs":
         pairs = F.col("director_count") * F.col("writer_count")
         return directors.join(writers, "movie", "inner").withColumns(

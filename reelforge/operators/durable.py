@@ -1,8 +1,11 @@
-"""Cutting lineage where a result is read several times."""
+"""Results that are read several times, and joins with a side of checked size."""
 
 import tempfile
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -21,3 +24,13 @@ def settle(df: DataFrame) -> DataFrame:
             return df
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a side of a join for broadcast if it has at most ``rows`` rows; otherwise return it unmarked.
+
+    The count stops at the bound. The planner cannot know the size of an aggregate beforehand: without the
+    mark it would shuffle the large side before it learns that it need not have. Give it settled or
+    stored frames, which are cheap to count.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelforge.operators.durable import BROADCAST_ROWS, broadcast_if_small, settle
+
 HOT_ROWS = 1_000_000
 
 
@@ -39,29 +41,32 @@ def lookup(facts: DataFrame, dimension: DataFrame, key: Column, dimension_key: s
            default: str, alias: str | None = None) -> DataFrame:
     """Look up upper-cased codes in a dimension; unknown codes and empty values get the default.
 
-    The side of the dimension is left to the adaptive planner, which broadcasts it only when its measured
-    size allows that.
+    The dimension is broadcast if it has few rows, and joined by shuffle if not.
     """
     target = alias or value
     table = dimension.select(F.upper(F.col(f"`{dimension_key}`")).alias("_code"), F.col(value).alias("_value"))
     table = table.where(F.col("_code").isNotNull()).groupBy("_code").agg(F.min("_value").alias("_value"))
     return (
         facts.withColumn("_code", F.upper(key))
-        .join(table, "_code", "left")
+        .join(broadcast_if_small(table), "_code", "left")
         .withColumn(target, F.coalesce(F.nullif(F.col("_value"), F.lit("")), F.lit(default)))
         .drop("_code", "_value")
     )
 
 
 def attach_counts(facts: DataFrame, counts: DataFrame, key: str, size: str, how: str = "inner",
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Join facts to per-key row counts, balanced when one key holds a third of the rows.
-
-    A key is hot when it has at least ``hot_rows`` rows, so there are at most (rows / hot_rows) hot keys:
-    16 bytes each, that is 16 MB for 10^12 rows. They are broadcast and their facts are never shuffled.
-    All other facts are shuffled on the key, no key with more than ``hot_rows`` counted rows among them.
+                  hot_rows: int = HOT_ROWS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Join facts to their per-key row counts, balanced when one key holds a third of the rows.
+
+    The counts are settled first. If there are at most ``broadcast_rows`` of them, they are broadcast and
+    no fact is shuffled. Otherwise the keys are split. A key is hot when it has at least ``hot_rows`` rows,
+    so there are at most (rows / hot_rows) hot keys, a million for 10^12 rows; these are broadcast and
+    their facts stay where they are. All other facts are shuffled on the key, no key with more than
+    ``hot_rows`` counted rows among them.
     """
-    counts = counts.select(key, size)
+    counts = settle(counts.select(key, size))
+    if counts.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return facts.join(F.broadcast(counts), key, how)
     hot = F.broadcast(counts.where(F.col(size) >= hot_rows))
     on_hot = facts.join(hot, key, "inner")
     on_others = facts.join(hot, key, "left_anti").join(counts.where(F.col(size) < hot_rows), key, how)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from reelforge import schemas
 from reelforge.functions import missing, nested
 from reelforge.operators.documents import document_map_rows, id_map_rows
+from reelforge.operators.durable import broadcast_if_small, settle
 from reelforge.operators.hygiene import sentinels_to_null
 
 
@@ -67,9 +68,12 @@ def read_columnar_credits(spark: SparkSession, path: str, person: str) -> DataFr
     )
 
 
-def read_id_map(spark: SparkSession, path: str) -> DataFrame:
-    """JSON objects ``{id: external id}`` as rows ``(imdb_id, tmdb_id)``."""
-    return id_map_rows(spark.read.text(path, wholetext=True), "value")
+def read_id_map(spark: SparkSession, path: str, indented: bool = False) -> DataFrame:
+    """JSON objects ``{id: external id}``, one per line, as rows ``(imdb_id, tmdb_id)``.
+
+    ``indented`` reads files that hold one object spread over many lines; one task reads such a file.
+    """
+    return id_map_rows(spark.read.text(path, wholetext=indented), "value")
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -101,10 +105,10 @@ def wide_lines_to_long(lines: DataFrame, source: str, line: str, index: str = "d
     array = F.array(*[F.col(f"_row.c{i}") for i in range(width)])
     parsed = lines.select(source, cells.alias("_row")).select(source, array.alias("_cells"))
     is_header = F.element_at("_cells", 1) == index
-    headers = parsed.where(is_header).groupBy(source).agg(F.first("_cells").alias("_names"))
+    headers = settle(parsed.where(is_header).groupBy(source).agg(F.first("_cells").alias("_names")))
     return (
         parsed.where(~is_header)
-        .join(headers, source)
+        .join(broadcast_if_small(headers), source)
         .select(
             source, F.to_date(F.element_at("_cells", 1)).alias("date"),
             F.posexplode(F.slice("_cells", 2, width - 1)).alias("_pos", "_text"), "_names",
