@@ -15,8 +15,13 @@ SNAKE_GENRES = {genre.lower().replace(" ", "_"): genre for genre in GENRES}
 
 
 def parse_documents(responses: DataFrame, payload: str = "payload") -> DataFrame:
-    """Landed responses with the payload parsed to a struct ``document``."""
-    return responses.withColumn("document", nested.parse_document(payload, DOCUMENT)).drop(payload)
+    """Landed responses with the payload parsed to a struct ``document``.
+
+    The parsed value goes through a generator of one row: a filter on one of its fields would otherwise be
+    pushed below the parser and parse every payload once more.
+    """
+    parsed = F.explode(F.array(nested.parse_document(payload, DOCUMENT))).alias("document")
+    return responses.select(*[name for name in responses.columns if name != payload], parsed)
 
 
 def document_rejects(parsed: DataFrame, key: str, required: Iterable[str] = BASIC_FIELDS) -> DataFrame:

@@ -33,7 +33,11 @@ def top_k(df: DataFrame, by: str, key: str, k: int) -> DataFrame:
 
 
 def group_profile(df: DataFrame, group: str, value: str, key: str) -> DataFrame:
-    """Mean and median of a value, and number of rows, per group."""
+    """Mean and median of a value, and number of rows, per group.
+
+    Reads ``df`` three times; settle it first if it is costly to compute. So do ``column_summary`` and the
+    exact ``impute.impute_median``.
+    """
     known = df.where(F.col(group).isNotNull())
     means = known.groupBy(group).agg(F.avg(value).alias("mean_value"), F.count(key).alias("n"))
     return means.join(exact_medians(known, [group], value, "median_value"), group, "left")

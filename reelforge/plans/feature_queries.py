@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from reelforge.constants import GENRES
 from reelforge.functions import nested
 from reelforge.operators import credits, documents, hygiene, impute, knn, series
+from reelforge.operators.durable import settle
 from reelforge.plans import sql_views as V
 from reelforge.plans.bindings import (
     TYPE_GENRES, countries, directing, features, responses, table, title_genres, title_id, titles, writing,
@@ -137,7 +138,8 @@ def external_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("external_feature_counts", f"""
-WITH {V.DOCUMENTS} SELECT tconst, country_region AS continent, action, comedy, drama, science_fiction, tv_movie, war
+WITH {V.DOCUMENTS} SELECT tconst, country_region AS continent, action::INTEGER AS action, comedy::INTEGER AS comedy, drama::INTEGER AS drama,
+  science_fiction::INTEGER AS science_fiction, tv_movie::INTEGER AS tv_movie, war::INTEGER AS war
 FROM docs WHERE tconst IS NOT NULL""")
 def external_feature_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = documents.parse_documents(responses(spark, sf_dir))
@@ -174,7 +176,8 @@ SELECT row_id, round(coalesce(start_year, y), 4) AS "startYear", round(coalesce(
   round(coalesce(votes, v), 4) AS "numVotes" FROM clean, m""")
 def impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["startYear", "runtimeMinutes", "numVotes"]
-    filled = impute.impute_median(typed_titles(spark, sf_dir), columns)
+    rows = settle(typed_titles(spark, sf_dir).select("row_id", *columns))
+    filled = impute.impute_median(rows, columns)
     return filled.select("row_id", *[F.round(name, 4).alias(name) for name in columns])
 
 

@@ -75,7 +75,8 @@ WITH {V.CLEAN} SELECT start_year AS "startYear", round(avg(votes), 4) AS mean_va
   round(median(votes), 4) AS median_value, count(tconst) AS n
 FROM clean WHERE start_year IS NOT NULL GROUP BY start_year""")
 def year_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = profile.group_profile(typed_titles(spark, sf_dir), "startYear", "numVotes", "tconst")
+    known = settle(typed_titles(spark, sf_dir).select("startYear", "numVotes", "tconst"))
+    rows = profile.group_profile(known, "startYear", "numVotes", "tconst")
     return rows.withColumns({
         "mean_value": F.round("mean_value", 4), "median_value": F.round("median_value", 4)
     })
@@ -92,7 +93,8 @@ def _summary_sql(name: str, value: str) -> str:
     _summary_sql(name, value)
     for name, value in [("startYear", "start_year"), ("runtimeMinutes", "minutes"), ("numVotes", "votes")]))
 def column_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = profile.column_summary(typed_titles(spark, sf_dir), ["startYear", "runtimeMinutes", "numVotes"])
+    columns = ["startYear", "runtimeMinutes", "numVotes"]
+    rows = profile.column_summary(settle(typed_titles(spark, sf_dir).select(*columns)), columns)
     measures = [name for name in rows.columns if name not in ("column", "n")]
     return rows.withColumns({name: F.round(name, 4) for name in measures})
 
