@@ -21,8 +21,9 @@ def nan_to_null(column: Column | str) -> Column:
 
 
 def to_int(column: Column | str, sentinels: Iterable[str] = SENTINELS) -> Column:
-    """Text to int. Sentinels and malformed text become null instead of failing the job."""
-    return to_null(column, sentinels).try_cast("int")
+    """Text to int, decimals cut off. Sentinels and malformed text become null instead of failing the job."""
+    text = to_null(column, sentinels)
+    return F.coalesce(text.try_cast("int"), text.try_cast("double").try_cast("int"))
 
 
 def to_double(column: Column | str, sentinels: Iterable[str] = SENTINELS) -> Column:

@@ -88,7 +88,7 @@ def clean_titles(df: DataFrame) -> DataFrame:
         "startYear": missing.to_int("startYear"),
         "endYear": missing.int_or_default("endYear", -1),
         "runtimeMinutes": missing.to_int("runtimeMinutes"),
-        "numVotes": missing.nan_to_null(F.col("numVotes")).cast("int"),
+        "numVotes": missing.nan_to_null(F.col("numVotes")).try_cast("bigint"),
         "primaryTitle": missing.text_or_empty("primaryTitle"),
         "originalTitle": missing.text_or_empty("originalTitle"),
     })

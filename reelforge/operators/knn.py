@@ -80,11 +80,12 @@ def _estimates(rows: DataFrame, names: list[str], k: int) -> DataFrame | None:
         "key", "has", *[F.coalesce(x, F.lit(0.0)).alias(x) for x in names],
         F.explode(F.filter(unit_list, lambda u: u["pattern"] == F.col("has"))).alias("u"),
     ).select("key", "u.unit", "u.target", *names)
-    # spread evenly and over all cores: a question is few bytes but much work
+    # Spread evenly and over all cores: a question is few bytes but much work. Distinct rows, hashed and
+    # sorted, so the ids come out the same if a partition is computed again.
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     questions = settle(
         asked.select("unit", *names).distinct().repartition(parts, "unit", *names)
-        .withColumn("question", F.monotonically_increasing_id())
+        .sortWithinPartitions("unit", *names).withColumn("question", F.monotonically_increasing_id())
     )
 
     donors = settle(_donors(rows, unit_list, names, k))

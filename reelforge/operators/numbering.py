@@ -12,7 +12,8 @@ def with_position(df: DataFrame, order_by: str, alias: str = "position", buckets
 
     The column's approximate quantiles cut the rows into equal buckets; the cuts are plain numbers, so a
     retried task puts every row in the same bucket again. Rows are numbered inside their bucket, and the
-    sizes of the earlier buckets (at most ``buckets`` + 1 rows, broadcast) are added.
+    sizes of the earlier buckets (at most ``buckets`` + 1 rows, broadcast) are added. Reads ``df`` three
+    times; settle it first if it is costly to compute.
     """
     cuts = df.agg(
         F.percentile_approx(F.col(order_by).cast("double"), [i / buckets for i in range(1, buckets)], 10 * buckets)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from reelforge.constants import SERIES_PER_BATCH
 from reelforge.functions.numeric import rescale
+from reelforge.operators.durable import settle
 from reelforge.operators.numbering import with_position
 
 
@@ -17,7 +18,7 @@ def anchor_batches(titles: DataFrame, title: str, order_by: str, anchor: str, si
         titles.where(F.col(title) != anchor)
         .groupBy(title).agg(F.min(order_by).alias("_first"))
     )
-    numbered = with_position(listed, "_first")
+    numbered = with_position(settle(listed), "_first")
     return (
         numbered.groupBy(F.floor(F.col("position") / size).alias("batch_id"))
         .agg(F.array_sort(F.collect_list(F.struct("position", title))).alias("_members"))

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelforge import schemas
 from reelforge.functions import missing, nested
@@ -83,8 +84,10 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:
     """Item lines as typed rows; malformed lines are kept in ``_corrupt_record``."""
-    lines = spark.read.text(path).where(~F.col("value").startswith("name,"))
-    return lines.select(nested.parse_line("value", schemas.ITEMS_CSV).alias("item")).select("item.*")
+    schema = T.StructType([*schemas.ITEMS_CSV.fields, T.StructField(nested.CORRUPT, T.StringType())])
+    return spark.read.schema(schema).csv(
+        path, header=True, quote='"', mode="PERMISSIVE", columnNameOfCorruptRecord=nested.CORRUPT
+    )
 
 
 def read_table(spark: SparkSession, path: str, *columns: str) -> DataFrame:

@@ -16,7 +16,7 @@ def test_sentinels_nan_and_null_are_one(spark):
     got = values(spark, "t string", rows, missing.to_null("t"), missing.to_int("t"), missing.to_double("t"),
                  missing.int_or_default("t", -1), missing.text_or_empty("t"))
     assert got[:6] == [(None, None, None, -1, "")] * 6
-    assert got[6:] == [("x", None, None, -1, "x"), ("12", 12, 12.0, 12, "12"), ("1.5", None, 1.5, -1, "1.5")]
+    assert got[6:] == [("x", None, None, -1, "x"), ("12", 12, 12.0, 12, "12"), ("1.5", 1, 1.5, 1, "1.5")]
 
 
 def test_first_int_takes_the_misplaced_year(spark):

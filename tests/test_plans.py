@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as contract
 
 PYTHON_STEPS = {"unknown_char_map", "knn_impute"}
-FITTED = {"rf_predictions", "logreg_predictions", "cv_grid", "auc_eval"}
+FITTED = {"rf_predictions", "logreg_predictions", "logreg_evaluation", "cv_grid", "auc_eval"}
 
 
 def plan_of(frame) -> str:
