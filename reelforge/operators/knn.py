@@ -28,7 +28,7 @@ from reelforge.constants import NEIGHBOURS
 from reelforge.functions.missing import nan_to_null
 from reelforge.operators.durable import settle
 
-MAX_COLUMNS = 10
+MAX_COLUMNS = 8
 MAX_CELLS = 20_000
 CELL_ROWS = 64
 SAMPLE_ROWS = 200_000
