@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelforge.operators.durable import settle
 from reelforge.operators.joins import attach_counts
 from reelforge.operators.profile import group_counts
 
@@ -45,7 +46,7 @@ def credit_features(directing: DataFrame, writing: DataFrame, mode: str = "peopl
     ``limits`` are those of ``attach_counts``.
     """
     if mode == "people":
-        directing, writing = directing.distinct(), writing.distinct()
+        directing, writing = settle(directing.distinct()), settle(writing.distinct())
     directors = _per_title(directing, "director", **limits)
     writers = _per_title(writing, "writer", **limits)
     if mode == "pairs":
