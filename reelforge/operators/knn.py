@@ -17,7 +17,7 @@ How the work is cut down:
   joined, and only donors inside it are ranked.
 """
 
-from math import ceil
+from math import ceil, sqrt
 
 import numpy as np
 import pandas as pd
@@ -29,9 +29,9 @@ from reelforge.functions.missing import nan_to_null
 from reelforge.operators.durable import settle
 
 MAX_COLUMNS = 8
-MAX_CELLS = 20_000
+MAX_CELLS = 200_000
 CELL_ROWS = 64
-SAMPLE_ROWS = 200_000
+SAMPLE_PER_CELL = 10
 
 
 def knn_impute(df: DataFrame, key: str, columns: list[str], k: int = NEIGHBOURS) -> DataFrame:
@@ -148,17 +148,21 @@ def _donors(rows: DataFrame, unit_list, names: list[str], k: int) -> DataFrame:
 
 
 def _trees(donors: DataFrame, families: dict[int, int], names: list[str]) -> dict[int, tuple]:
-    """Split trees per family, from a sample of about ``SAMPLE_ROWS`` rows.
+    """Split trees per family, from a sample of about ``SAMPLE_PER_CELL`` rows per cell.
+
+    A question is weighed against every cell and then compared with the rows of about ten, so its cost is
+    least with about the square root of ten times the rows as the number of cells.
 
     A tree is (first cell, split column or -1, cut, left child, right child); its cells are its nodes.
     """
     total = sum(families.values())
-    fraction = min(1.0, SAMPLE_ROWS / total)
+    cell_rows = max(CELL_ROWS, ceil(total / min(MAX_CELLS, sqrt(10 * total))))
+    fraction = min(1.0, SAMPLE_PER_CELL / cell_rows)
     sampled = donors.select("family", *names)
     if fraction < 1.0:
         sampled = sampled.sample(fraction, seed=1)
     points = sampled.toPandas()
-    leaf = max(1, round(max(CELL_ROWS, ceil(total / MAX_CELLS)) * fraction))
+    leaf = max(1, round(cell_rows * fraction))
     of_family = dict(list(points.groupby("family")[names]))
     trees, first = {}, 0
     for family in sorted(families):

@@ -4,17 +4,22 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1_000
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 20_000
 
 
-def with_position(df: DataFrame, order_by: str, alias: str = "position", buckets: int = BUCKETS) -> DataFrame:
+def with_position(df: DataFrame, order_by: str, alias: str = "position", buckets: int | None = None) -> DataFrame:
     """Add the 0-based position of each row in the order of a numeric column with unique values.
 
     The column's approximate quantiles cut the rows into equal buckets; the cuts are plain numbers, so a
     retried task puts every row in the same bucket again. Rows are numbered inside their bucket, and the
-    sizes of the earlier buckets (at most ``buckets`` + 1 rows, broadcast) are added. Reads ``df`` three
-    times; settle it first if it is costly to compute.
+    sizes of the earlier buckets (at most ``MAX_BUCKETS`` rows, broadcast) are added. Buckets hold about
+    ``ROWS_PER_BUCKET`` rows, more only beyond 2 * 10^10 rows. Reads ``df`` four times; settle it first if it
+    is costly to compute.
     """
+    if buckets is None:
+        buckets = min(MAX_BUCKETS, df.count() // ROWS_PER_BUCKET + 1)
+    buckets = max(2, buckets)
     cuts = df.agg(
         F.percentile_approx(F.col(order_by).cast("double"), [i / buckets for i in range(1, buckets)], 10 * buckets)
     ).first()[0]

@@ -300,7 +300,7 @@ def test_knn_equals_brute_force(spark, monkeypatch, seed, decimals):
 
 def test_knn_with_a_coarse_sample(spark, monkeypatch):
     monkeypatch.setattr(knn, "CELL_ROWS", 4)
-    monkeypatch.setattr(knn, "SAMPLE_ROWS", 30)
+    monkeypatch.setattr(knn, "SAMPLE_PER_CELL", 1)
     random = np.random.default_rng(5)
     matrix = random.random((120, 2))
     matrix[:15, 0] = np.nan
