@@ -258,6 +258,21 @@ def test_median_and_constant_columns(spark):
     assert [r["v_minmax"] for r in scaled[:3]] == pytest.approx([0.0, 1 / 9, 1.0]) and scaled[3]["v_minmax"] is None
 
 
+def test_approximate_median_is_near_in_rank(spark):
+    frame = spark.range(10_001).select(F.when(F.col("id") % 10 != 3, F.col("id").cast("double")).alias("v"))
+    filled = impute.impute_median(frame, ["v"], exact=False)
+    assert filled.where("v is null").count() == 0
+    extra = filled.exceptAll(frame.where("v is not null")).distinct().collect()
+    assert len(extra) == 1 and abs(extra[0][0] - 5000) <= 10_001 * 0.002
+
+
+def test_partition_sums_add_up(spark):
+    frame = spark.range(0, 100, 1, 5).select(F.when(F.col("id") % 4 == 0, float("nan")).otherwise(F.col("id").cast("double")).alias("v"))
+    sums = profile.partition_sums(frame, "v").collect()
+    assert len(sums) == 5 and sum(r["n_rows"] for r in sums) == 100
+    assert sum(r["total"] for r in sums) == sum(i for i in range(100) if i % 4)
+
+
 def test_scaling_fitted_on_one_frame_used_on_another(spark):
     train = spark.createDataFrame([(0.0,), (10.0,)], "v double")
     other = spark.createDataFrame([(5.0,), (20.0,)], "v double")
