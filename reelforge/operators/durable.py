@@ -1,36 +1,62 @@
 """Results that are read several times, and joins with a side of checked size."""
 
+import atexit
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder, so that re-reading it costs a scan only.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    The folder is the session's ``spark.checkpoint.dir``; files there survive the loss of executors. A
-    folder of our own is made only in local mode and only when none is named. On a cluster without a
-    named folder the frame is returned as it is, and Spark recomputes it.
+    Where it is unset, a local session (as in tests) gets a folder of its own; a cluster has no such folder, so
+    that is an error and not a silent recomputation.
     """
-    context = df.sparkSession.sparkContext
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if context.getCheckpointDir() is None:
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="reelforge-")
-        if folder is None:
-            return df
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a side of a join for broadcast if it has at most ``rows`` rows; otherwise return it unmarked.
-
-    The count stops at the bound. The planner cannot know the size of an aggregate beforehand: without the
-    mark it would shuffle the large side before it learns that it need not have. Give it settled or
-    stored frames, which are cheap to count.
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="reelforge-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def staging_path(spark: SparkSession, label: str = "staged") -> str:
+    """A new path in the shared folder; what is written there goes when the driver's Python ends."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:  # the session has ended: the folder's owner clears it
+        pass
+
+
+def settle(df: DataFrame, label: str = "staged") -> DataFrame:
+    """Write ``df`` once as Parquet to the shared folder and read it from there.
+
+    This cuts the lineage: stored rows outlive lost executors, and later reads are pruned scans.
+    """
+    path = staging_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, bytes_: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a side of a join for broadcast if it has at most ``rows`` rows of ``bytes_`` in all; else leave it unmarked.
+
+    The planner cannot know the size of an aggregate beforehand: without the mark it would shuffle the large
+    side before it learns that it need not have. Give it settled or stored frames, which are cheap to count.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    width = sum((F.coalesce(F.length(F.col(f"`{name}`").cast("string")), F.lit(0)) for name, _ in df.dtypes), F.lit(0))
+    count, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(df) if count <= rows and size <= bytes_ else df
