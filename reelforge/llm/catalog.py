@@ -1,9 +1,11 @@
 """Queries of this folder, by name: how to build each, and the SQL of its result where SQL can say it."""
 
-from reelforge.llm import packing, token_files
+from reelforge.llm import exact, mixing, packing, token_files
 
 QUERIES = {
     "op4_best_fit_packing": packing.op4_best_fit_packing,
+    "op6_exact_dedup": exact.op6_exact_dedup,
+    "op7_source_mixing": mixing.op7_source_mixing,
     "op9_token_files": token_files.op9_token_files,
 }
-SQL: dict[str, str] = {}
+SQL = {"op6_exact_dedup": exact.OP6_SQL}
