@@ -1,11 +1,13 @@
 """Queries of this folder, by name: how to build each, and the SQL of its result where SQL can say it."""
 
-from reelforge.llm import exact, mixing, packing, token_files
+from reelforge.llm import exact, licenses, mixing, packing, secrets, token_files
 
 QUERIES = {
+    "op2_license_scan": licenses.op2_license_scan,
+    "op3_secret_scan": secrets.op3_secret_scan,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op6_exact_dedup": exact.op6_exact_dedup,
     "op7_source_mixing": mixing.op7_source_mixing,
     "op9_token_files": token_files.op9_token_files,
 }
-SQL = {"op6_exact_dedup": exact.OP6_SQL}
+SQL = {"op2_license_scan": licenses.OP2_SQL, "op3_secret_scan": secrets.OP3_SQL, "op6_exact_dedup": exact.OP6_SQL}
