@@ -1,11 +1,12 @@
 """Queries of this folder, by name: how to build each, and the SQL of its result where SQL can say it."""
 
-from reelforge.llm import exact, licenses, mixing, packing, secrets, token_files
+from reelforge.llm import exact, language, licenses, mixing, packing, secrets, token_files
 
 QUERIES = {
     "op2_license_scan": licenses.op2_license_scan,
     "op3_secret_scan": secrets.op3_secret_scan,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
+    "op5_language_id": language.op5_language_id,
     "op6_exact_dedup": exact.op6_exact_dedup,
     "op7_source_mixing": mixing.op7_source_mixing,
     "op9_token_files": token_files.op9_token_files,
