@@ -1,6 +1,6 @@
 """Queries of this folder, by name: how to build each, and the SQL of its result where SQL can say it."""
 
-from reelforge.llm import exact, language, licenses, mixing, packing, secrets, token_files
+from reelforge.llm import exact, language, licenses, mixing, neighbours, packing, secrets, token_files
 
 QUERIES = {
     "op2_license_scan": licenses.op2_license_scan,
@@ -10,5 +10,6 @@ QUERIES = {
     "op6_exact_dedup": exact.op6_exact_dedup,
     "op7_source_mixing": mixing.op7_source_mixing,
     "op9_token_files": token_files.op9_token_files,
+    "op10_nearest_neighbours": neighbours.op10_nearest_neighbours,
 }
 SQL = {"op2_license_scan": licenses.OP2_SQL, "op3_secret_scan": secrets.OP3_SQL, "op6_exact_dedup": exact.OP6_SQL}
