@@ -1,6 +1,6 @@
 """Queries of this folder, by name: how to build each, and the SQL of its result where SQL can say it."""
 
-from reelforge.llm import exact, language, licenses, mixing, neighbours, packing, secrets, token_files
+from reelforge.llm import exact, language, licenses, mixing, neighbours, packing, secrets, similar, token_files
 
 QUERIES = {
     "op2_license_scan": licenses.op2_license_scan,
@@ -9,6 +9,7 @@ QUERIES = {
     "op5_language_id": language.op5_language_id,
     "op6_exact_dedup": exact.op6_exact_dedup,
     "op7_source_mixing": mixing.op7_source_mixing,
+    "op8_ngram_jaccard_join": similar.op8_ngram_jaccard_join,
     "op9_token_files": token_files.op9_token_files,
     "op10_nearest_neighbours": neighbours.op10_nearest_neighbours,
 }
