@@ -1,8 +1,9 @@
 """Queries of this folder, by name: how to build each, and the SQL of its result where SQL can say it."""
 
-from reelforge.llm import exact, language, licenses, mixing, neighbours, packing, secrets, similar, token_files
+from reelforge.llm import exact, language, licenses, lines, mixing, neighbours, packing, secrets, similar, token_files
 
 QUERIES = {
+    "op1_line_dedup": lines.op1_line_dedup,
     "op2_license_scan": licenses.op2_license_scan,
     "op3_secret_scan": secrets.op3_secret_scan,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
@@ -13,4 +14,4 @@ QUERIES = {
     "op9_token_files": token_files.op9_token_files,
     "op10_nearest_neighbours": neighbours.op10_nearest_neighbours,
 }
-SQL = {"op2_license_scan": licenses.OP2_SQL, "op3_secret_scan": secrets.OP3_SQL, "op6_exact_dedup": exact.OP6_SQL}
+SQL = {"op1_line_dedup": lines.OP1_SQL, "op2_license_scan": licenses.OP2_SQL, "op3_secret_scan": secrets.OP3_SQL, "op6_exact_dedup": exact.OP6_SQL}

@@ -1,10 +1,12 @@
 """Sources mixed to target weights over fixed-length token blocks (operator 7). DataFrame functions only."""
 
+import random
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelforge.llm.frames import documents
-from reelforge.operators.durable import BROADCAST_ROWS, settle
+from reelforge.operators.durable import settle
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -12,22 +14,28 @@ SHARE = 1.5
 MOST = 2
 BLOCK = 128
 SHARD_SLOTS = 8192
-ROUNDS = 16
+ROUNDS = 10
+PAGE = 8192
+MOST_COPIES = 1 << 10
+KEY_STEP = 1_000_003  # keeps the keys of sources and copies apart
 SEED = 20_250_711
 ROWS_AT_ONCE = 20_000
 
 
-def permuted(index: Column, size: Column, *key: Column) -> Column:
+def permuted(index: Column, size: Column, key: Column) -> Column:
     """A keyed pseudorandom permutation of 0 .. size - 1 for any size: the swap-or-not shuffle.
 
-    In each round, ``index`` and its mirror ``k - index`` swap places or not, as a hash of the larger of the two says.
+    In each round, ``index`` and its mirror ``c - index`` swap places or not, as a hash of the larger of the two says.
+    ``key`` is a number from 0 to 2^60; the constants of the rounds come from the seed.
     """
-    def turn(at: Column, step: Column) -> Column:
-        mirror = F.pmod(F.pmod(F.xxhash64(F.lit(SEED), step, *key), size) - at, size)
-        swap = F.xxhash64(step, *key, F.greatest(at, mirror)) < 0
-        return F.when(swap, mirror).otherwise(at)
+    draw = random.Random(SEED)
+    constants = F.array(*[F.lit(draw.randrange(1 << 60)).cast("long") for _ in range(ROUNDS)])
+
+    def turn(at: Column, constant: Column) -> Column:
+        mirror = F.pmod(constant + key - at, size)
+        return F.when(F.xxhash64(constant, F.greatest(at, mirror)) < 0, mirror).otherwise(at)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), index.cast("long"), turn)
+    return F.aggregate(constants, index.cast("long"), turn)
 
 
 def source_targets(sized: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST,
@@ -72,24 +80,19 @@ def draw_blocks(sources: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame
 
     A keyed permutation deals the sources' slots over the output, so each shard's counts are a multinomial draw under
     the condition that all shards together meet the targets. A source's slots are then mapped through its own
-    permutation of block indexes, one for each time that it is gone through.
+    permutation of block indexes, one for each time that it is gone through. Slots are made from pages of
+    ``PAGE`` slots, which are dealt over the tasks.
     """
-    spark = sources.sparkSession
     total = sources.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
-    drawn = spark.range(total).select(
-        F.col("id").alias("slot"), F.floor(F.col("id") / shard_slots).alias("shard"),
-        permuted(F.col("id"), F.lit(max(total, 1)), F.lit("deal")).alias("_drawn"))
-    table = sources.where("slots > 0")
-    if table.count() > BROADCAST_ROWS:
-        raise ValueError("too many sources to mix by weight")
-    placed = drawn.join(
-        F.broadcast(table),
-        (F.col("_drawn") >= F.col("first_slot")) & (F.col("_drawn") < F.col("first_slot") + F.col("slots")))
-    order = F.col("_drawn") - F.col("first_slot")
-    copy = F.floor(order / F.col("blocks"))
-    return placed.select(
-        "shard", "slot", "sid", copy.alias("copy"),
-        permuted(order - copy * F.col("blocks"), F.col("blocks"), F.col("sid"), copy).alias("block"))
+    pages = sources.where("slots > 0").withColumn("_page", F.explode(F.sequence(F.lit(0), F.floor((F.col("slots") - 1) / PAGE))))
+    pages = pages.repartition("sid", "_page").withColumn("_first", F.col("_page") * PAGE)
+    drawn = pages.select("sid", "blocks", "first_slot", F.explode(F.sequence(
+        F.col("_first"), F.least(F.col("_first") + PAGE, F.col("slots")) - 1)).alias("_order"))
+    drawn = drawn.withColumn("copy", F.floor(F.col("_order") / F.col("blocks")))
+    slot = permuted(F.col("first_slot") + F.col("_order"), F.lit(max(total, 1)), F.lit(0))
+    block = permuted(F.col("_order") - F.col("copy") * F.col("blocks"), F.col("blocks"), (F.col("sid") * MOST_COPIES + F.col("copy")) * KEY_STEP)
+    return drawn.select(slot.alias("slot"), "sid", "copy", block.alias("block")).withColumn(
+        "shard", F.floor(F.col("slot") / shard_slots))
 
 
 def block_parts(sized: DataFrame, sources: DataFrame, block: int = BLOCK) -> DataFrame:
