@@ -3,15 +3,46 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from reelforge.llm.frames import documents
+from reelforge.llm.language import in_known_language
+from reelforge.llm.lines import without_repeated_lines
+from reelforge.llm.mixing import mixed_documents
 from reelforge.llm.packing import pack
+from reelforge.llm.similar import one_of_each
 from reelforge.operators.durable import settle
 
 
-def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the corpus labels; texts without letters go."""
+    return in_known_language(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that came before, or nearly so."""
+    return without_repeated_lines(docs)
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id."""
+    return one_of_each(docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of the sources by weight, as documents: once for each copy that it takes of one."""
+    return mixed_documents(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document goes in sequences of a fixed length."""
     return pack(docs)
 
 
-STAGES = [("best-fit packing", packed)]
+STAGES = [
+    ("language ID", language_id),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", jaccard_join),
+    ("source mixing", source_mixing),
+    ("best-fit packing", best_fit_packing),
+]
 
 #: No SQL can state trained filters, tokenizers or seeded draws: tests hold the stages against brute force.
 ORACLE_SQL = None

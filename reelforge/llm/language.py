@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelforge.llm.frames import documents
+from reelforge.llm.frames import carried, documents
 from reelforge.llm.rawtext import mixed
 
 UNKNOWN = "und"
@@ -186,16 +186,19 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``held_out``, ``lang_pred`` and ``score``; learned from the labelled rows that are not held out."""
+    """``_doc`` (all columns of ``docs``), ``doc_id``, ``held_out``, ``lang_pred`` and ``score``.
+
+    Learned from the labelled rows of ``docs`` that are not held out; a null id is neither held out nor learned from.
+    """
     filters = learn(docs.where(~held_out() & F.col("doc_id").isNotNull()))
     guess = predicted(F.col("text"), docs.sparkSession, filters)
-    return docs.withColumn("_guess", guess).select(
-        *docs.columns, held_out().alias("held_out"), F.col("_guess.lang_pred").alias("lang_pred"), F.col("_guess.score").alias("score"))
+    return carried(docs, "doc_id", "text").withColumn("_guess", guess).select(
+        "_doc", "doc_id", held_out().alias("held_out"), F.col("_guess.lang_pred").alias("lang_pred"), F.col("_guess.score").alias("score"))
 
 
 def in_known_language(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """The documents of a language that was learned: others, and texts without letters, go. Columns stay."""
-    return identify(docs).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+    return identify(docs).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("_doc.*")
 
 
 def op5_language_id(spark, sf_dir: str) -> DataFrame:

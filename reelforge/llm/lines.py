@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelforge.llm.bitmaps import bitmap_of, may_hold
-from reelforge.llm.frames import documents, whole_text
+from reelforge.llm.frames import carried, changed, documents, whole_text
 from reelforge.operators.durable import settle
 
 DISTANCE = 1
@@ -106,10 +106,11 @@ def repeated_lines(docs: DataFrame, distance: int = DISTANCE, least_chars: int =
 
 
 def with_dropped_lines(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` with ``_dropped``: the numbers of the lines to take out, null where there are none."""
+    """``_doc`` (all columns of ``docs``), ``doc_id``, ``text`` and ``_dropped``: the numbers of the lines to take out, or null."""
     gone = repeated_lines(docs, **settings).withColumnsRenamed({"doc_id": "_id", "hash": "_gone", "dropped": "_dropped"})
-    return docs.withColumn("_hash", F.xxhash64(whole_text())).join(
-        gone, (F.col("_hash") == F.col("_gone")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(*docs.columns, "_dropped")
+    return carried(docs, "doc_id", "text").withColumn("_hash", F.xxhash64(whole_text())).join(
+        gone, (F.col("_hash") == F.col("_gone")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left"
+    ).select("_doc", "doc_id", "text", "_dropped")
 
 
 def kept_text(text: Column, dropped: Column) -> Column:
@@ -120,9 +121,10 @@ def kept_text(text: Column, dropped: Column) -> Column:
 
 def without_repeated_lines(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` without repeated lines; columns stay, ``n_chars`` follows. Documents of which only blanks are left go."""
-    cut = with_dropped_lines(docs, **settings).withColumn("text", kept_text(F.col("text"), F.col("_dropped")))
-    left = cut.where(F.col("_dropped").isNull() | (F.length(F.trim("text")) > 0))
-    return left.withColumn("n_chars", F.when(F.col("_dropped").isNull(), F.col("n_chars")).otherwise(F.length("text"))).select(*docs.columns)
+    cut = with_dropped_lines(docs, **settings).withColumn("_left", kept_text(F.col("text"), F.col("_dropped")))
+    left = cut.where(F.col("_dropped").isNull() | (F.length(F.trim("_left")) > 0))
+    return left.select(
+        F.when(F.col("_dropped").isNull(), F.col("_doc")).otherwise(changed(docs, F.col("_left"))).alias("_doc")).select("_doc.*")
 
 
 def op1_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelforge.llm.frames import documents
+from reelforge.llm.frames import carried, changed, documents
 from reelforge.operators.durable import settle
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -155,23 +155,22 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     words. ``n_chars`` follows the text. Documents of which nothing is taken are left out.
     """
     block = settings.pop("block", BLOCK)
-    stored = settle(docs.withColumn("_row", F.monotonically_increasing_id()), "mixed")
+    stored = settle(carried(docs, "doc_id", "text", "source").withColumn("row", F.monotonically_increasing_id()), "mixed")
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sized = settle(stored.select(F.col("_row").alias("row"), "doc_id", "source", size.alias("size")), "sizes")
+    sized = settle(stored.select("row", "doc_id", "source", size.alias("size")), "sizes")
     sources = settle(source_targets(sized, block=block, **settings), "sources")
     parts = block_parts(sized, sources, block).join(draw_blocks(sources).select("sid", "block", "copy"), ["sid", "block"])
-    copies = parts.groupBy(F.col("row").alias("_row"), "copy").agg(
+    copies = parts.groupBy("row", "copy").agg(
         F.sum("words").alias("_taken"), F.sort_array(F.collect_list(F.struct("first_word", "words"))).alias("_parts"))
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
     cut = F.array_join(F.flatten(F.transform("_parts", lambda p: F.slice(
         F.col("_words"), (p["first_word"] + 1).cast("int"), p["words"].cast("int")))), " ")
-    joined = (
-        stored.join(copies, "_row").withColumn("_size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)))
-        .withColumn("_words", F.when(F.col("_taken") < F.col("_size"), words))
-        .withColumn("text", F.when(F.col("_taken") < F.col("_size"), cut).otherwise(F.col("text")))
-        .withColumn("n_chars", F.length("text").cast("long"))
+    partly = F.col("_taken") < F.col("size")
+    return (
+        stored.join(copies.join(sized.select("row", "size"), "row"), "row")
+        .withColumn("_words", F.when(partly, words))
+        .select(F.when(partly, changed(docs, cut)).otherwise(F.col("_doc")).alias("_doc")).select("_doc.*")
     )
-    return joined.select(*docs.columns)
 
 
 def op7_source_mixing(spark, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reelforge.llm.bitmaps import bitmap_of, may_hold
 from reelforge.llm.components import connected
-from reelforge.llm.frames import documents, whole_text
+from reelforge.llm.frames import carried, documents, whole_text
 from reelforge.llm.rawtext import Hasher, mixed, utf8, word_hashes
 from reelforge.operators.durable import settle
 
@@ -220,12 +220,12 @@ def similar_documents(docs: DataFrame, n: int = NGRAM, least: float = LEAST, rec
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with one document of each class of similar ones; columns stay. Rows that repeat id and text count once."""
     kept = similar_documents(docs, **settings).where("kept").select(*_identity("doc_id", "hash"))
-    keyed = docs.withColumn("_hash", F.xxhash64(whole_text()))
+    keyed = carried(docs, "doc_id", "text").withColumn("_hash", F.xxhash64(whole_text()))
     first, second = _identity("doc_id", "_hash")
     return (
-        keyed.withColumns({"_k1": first, "_k2": second})
+        keyed.select("_doc", first.alias("_k1"), second.alias("_k2"))
         .join(kept.distinct().withColumnsRenamed({"k1": "_k1", "k2": "_k2"}), ["_k1", "_k2"])
-        .dropDuplicates(["_k1", "_k2"]).select(*docs.columns)
+        .dropDuplicates(["_k1", "_k2"]).select("_doc.*")
     )
 
 
