@@ -4,7 +4,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from reelforge.constants import BASIC_FIELDS, DEFAULT_REGION, GENRES
 from reelforge.functions import nested, text
@@ -85,16 +84,50 @@ def append_features(known: DataFrame, new: DataFrame) -> DataFrame:
     return append_rows(known, new, "tconst")
 
 
+def map_entries(json_objects: DataFrame, column: str = "value") -> DataFrame:
+    """JSON objects as rows ``(id, text)``, one per entry; the text of a nested value is its JSON.
+
+    An object that is not valid JSON is one row with a null id and its own text.
+    """
+    entries = F.from_json(F.col(column), "map<string,string>")
+    whole = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.col(column).alias("value")))
+    broken = entries.isNull() & F.col(column).isNotNull()
+    # the generator keeps filters on an entry from parsing every object once more
+    return json_objects.select(F.explode(F.when(broken, whole).otherwise(F.map_entries(entries))).alias("entry")).select(
+        F.col("entry.key").alias("id"), F.col("entry.value").alias("text"))
+
+
 def id_map_rows(json_objects: DataFrame, column: str = "value") -> DataFrame:
-    """JSON objects ``{id: external id}`` as rows."""
-    entries = F.from_json(F.col(column), "map<string,bigint>")
-    return json_objects.select(F.explode(entries).alias("imdb_id", "tmdb_id"))
+    """JSON objects ``{id: external id}`` as rows; entries without a whole number are in ``id_map_rejects``."""
+    entries = map_entries(json_objects, column)
+    return entries.select(F.col("id").alias("imdb_id"), F.col("text").try_cast("bigint").alias("tmdb_id")).where(
+        "imdb_id IS NOT NULL AND tmdb_id IS NOT NULL")
+
+
+def id_map_rejects(json_objects: DataFrame, column: str = "value") -> DataFrame:
+    """``(id, reason)`` of what ``id_map_rows`` leaves out; for a malformed object the id is its text."""
+    entries = map_entries(json_objects, column)
+    bad = entries.where("id IS NULL OR text IS NULL OR try_cast(text AS bigint) IS NULL")
+    return bad.select(
+        F.coalesce("id", "text").alias("id"),
+        F.when(F.col("id").isNull(), "malformed object").otherwise("not a whole number").alias("reason"))
 
 
 def document_map_rows(json_objects: DataFrame, column: str = "value") -> DataFrame:
-    """JSON objects ``{id: document}`` as rows ``(id, document)``."""
-    entries = F.from_json(F.col(column), T.MapType(T.StringType(), DOCUMENT))
-    return json_objects.select(F.explode(entries).alias("id", "document"))
+    """JSON objects ``{id: document}`` as rows ``(id, document)``, each document parsed by itself.
+
+    A document that is not an object of the expected form keeps its row, with its text in ``_corrupt_record``.
+    """
+    entries = map_entries(json_objects, column).where("id IS NOT NULL")
+    return parse_documents(entries, "text")
+
+
+def document_map_rejects(json_objects: DataFrame, column: str = "value") -> DataFrame:
+    """``(id, reason)`` of malformed objects (the id is their text) and of malformed documents in them."""
+    entries = map_entries(json_objects, column)
+    objects = entries.where("id IS NULL").select(F.col("text").alias("id"), F.lit("malformed object").alias("reason"))
+    documents = parse_documents(entries.where("id IS NOT NULL"), "text")
+    return objects.unionByName(document_rejects(documents, "id", required=()))
 
 
 def enrichment_plan(titles: DataFrame, id_map: DataFrame, not_found: DataFrame, features: DataFrame) -> DataFrame:
@@ -104,7 +137,7 @@ def enrichment_plan(titles: DataFrame, id_map: DataFrame, not_found: DataFrame,
     ``not found`` - the id search has failed before. Finished titles are left out.
     """
     open_titles = not_yet_done(titles.select("tconst").distinct(), features, "tconst")
-    known = id_map.select(F.col("imdb_id").alias("tconst"), "tmdb_id").dropDuplicates(["tconst"])
+    known = id_map.select(F.col("imdb_id").alias("tconst"), "tmdb_id").groupBy("tconst").agg(F.min("tmdb_id").alias("tmdb_id"))
     failed = not_found.select(F.col("id").alias("tconst")).distinct().withColumn("_failed", F.lit(True))
     return (
         open_titles.join(known, "tconst", "left").join(failed, "tconst", "left")

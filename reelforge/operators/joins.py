@@ -6,6 +6,12 @@ from pyspark.sql import functions as F
 from reelforge.operators.durable import BROADCAST_ROWS, broadcast_if_small, settle
 
 HOT_ROWS = 1_000_000
+SALTS = 64
+
+
+def _keys(rows: DataFrame, key: str) -> DataFrame:
+    """Different keys only, combined map-side: repeats on the right of a semi- or anti-join cannot be split when they meet."""
+    return rows.select(key).where(F.col(key).isNotNull()).distinct()
 
 
 def enrich(titles: DataFrame, features: DataFrame, key: str = "tconst") -> DataFrame:
@@ -15,16 +21,16 @@ def enrich(titles: DataFrame, features: DataFrame, key: str = "tconst") -> DataF
 
 def not_yet_done(requested: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key has not been processed before."""
-    return requested.join(done.select(key), key, "left_anti")
+    return requested.join(_keys(done, key), key, "left_anti")
 
 
 def already_done(requested: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    return requested.join(done.select(key), key, "left_semi")
+    return requested.join(_keys(done, key), key, "left_semi")
 
 
 def key_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Distinct keys of ``left`` that ``right`` lacks. ``count()`` gives the size of the difference."""
-    return left.select(key).distinct().join(right.select(key), key, "left_anti")
+    return left.select(key).distinct().join(_keys(right, key), key, "left_anti")
 
 
 def aligned(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -56,21 +62,32 @@ def lookup(facts: DataFrame, dimension: DataFrame, key: Column, dimension_key: s
 
 def attach_counts(facts: DataFrame, counts: DataFrame, key: str, size: str, how: str = "inner",
                   hot_rows: int = HOT_ROWS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join facts to their per-key row counts, balanced when one key holds a third of the rows.
+    """Join facts to their per-key row counts, balanced when one key holds a third of the rows of either side.
 
-    The counts are settled first. If there are at most ``broadcast_rows`` of them, they are broadcast and
-    no fact is shuffled. Otherwise the keys are split. A key is hot when it has at least ``hot_rows`` rows,
-    so there are at most (rows / hot_rows) hot keys, a million for 10^12 rows; these are broadcast and
-    their facts stay where they are. All other facts are shuffled on the key, no key with more than
-    ``hot_rows`` counted rows among them.
+    The counts are settled first. If they are few and small they are broadcast and no fact is shuffled. Otherwise the
+    keys are split. A key is hot when it has ``hot_rows`` rows by its count or among the facts, so there are at most
+    2 * rows / ``hot_rows`` hot keys, two million for 10^12 rows. Hot facts and their counts are salted: the counts, one row per
+    key, are repeated once per salt. Facts with a null key meet no count and are not shuffled. All other
+    facts are shuffled on the key, none of which has more than ``hot_rows`` rows on either side.
     """
     counts = settle(counts.select(key, size))
-    if counts.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return facts.join(F.broadcast(counts), key, how)
-    hot = F.broadcast(counts.where(F.col(size) >= hot_rows))
-    on_hot = facts.join(hot, key, "inner")
-    on_others = facts.join(hot, key, "left_anti").join(counts.where(F.col(size) < hot_rows), key, how)
-    return on_hot.unionByName(on_others)
+    small = broadcast_if_small(counts, broadcast_rows)
+    if small is not counts:
+        return facts.join(small, key, how)
+    often = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_rows)
+    hot = settle(
+        counts.where((F.col(size) >= hot_rows) & F.col(key).isNotNull()).select(key).union(often.select(key)).distinct()
+        .withColumn("_hot", F.lit(True)))
+    salts = F.array(*[F.lit(i) for i in range(SALTS)])
+    marked = facts.where(F.col(key).isNotNull()).join(broadcast_if_small(hot), key, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")).otherwise(0))
+    spread = counts.where(F.col(key).isNotNull()).join(broadcast_if_small(hot), key, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), salts).otherwise(F.array(F.lit(0)))))
+    joined = marked.drop("_hot").join(spread.drop("_hot"), [key, "_salt"], how).select(*facts.columns, size)
+    if how == "inner":
+        return joined
+    nulls = facts.where(F.col(key).isNull()).withColumn(size, F.lit(None).cast(counts.schema[size].dataType))
+    return joined.unionByName(nulls)
 
 
 def merge_map(known: DataFrame, found: DataFrame, key: str, value: str) -> DataFrame:

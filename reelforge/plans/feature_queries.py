@@ -4,9 +4,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelforge.constants import GENRES
-from reelforge.functions import nested
+from reelforge.functions import missing, nested
 from reelforge.operators import credits, documents, hygiene, impute, knn, series
 from reelforge.operators.durable import settle
+from reelforge.plans import classify
 from reelforge.plans import sql_views as V
 from reelforge.plans.bindings import (
     TYPE_GENRES, countries, directing, features, responses, table, title_genres, title_id, titles, writing,
@@ -14,7 +15,7 @@ from reelforge.plans.bindings import (
 from reelforge.plans.bindings import series as series_rows
 from reelforge.plans.profile_queries import typed_titles
 from reelforge.plans.registry import query
-from reelforge.sources.files import wide_lines_to_long
+from reelforge.sources.files import wide_line_rejects, wide_lines_to_long
 
 SNAKE = [name.lower().replace(" ", "_") for name in GENRES]
 
@@ -76,12 +77,7 @@ def multi_hot_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("json_flatten", f"""
 WITH {V.DOCUMENTS} SELECT requested, tconst AS imdb_id, original_language, popularity, revenue, runtime, vote_average,
-  vote_count, country, concat_ws(',', CASE WHEN action > 0 THEN 'Action' END, CASE WHEN action > 1 THEN 'Action' END,
-   CASE WHEN comedy > 0 THEN 'Comedy' END, CASE WHEN comedy > 1 THEN 'Comedy' END,
-   CASE WHEN drama > 0 THEN 'Drama' END, CASE WHEN drama > 1 THEN 'Drama' END,
-   CASE WHEN science_fiction > 0 THEN 'Science Fiction' END, CASE WHEN science_fiction > 1 THEN 'Science Fiction' END,
-   CASE WHEN tv_movie > 0 THEN 'TV Movie' END, CASE WHEN tv_movie > 1 THEN 'TV Movie' END,
-   CASE WHEN war > 0 THEN 'War' END, CASE WHEN war > 1 THEN 'War' END) AS genres FROM docs""")
+  vote_count, country, rtrim({" || ".join(f"repeat('{genre},', {genre.lower().replace(' ', '_')}::INTEGER)" for genre in TYPE_GENRES.values())}, ',') AS genres FROM docs""")
 def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = documents.parse_documents(responses(spark, sf_dir))
     flat = documents.flatten_documents(parsed.withColumnRenamed("tconst", "requested"), "requested")
@@ -187,6 +183,60 @@ def impute_median_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return impute.impute_median(typed_titles(spark, sf_dir), columns, exact=False).select("row_id", *columns)
 
 
+@query("median_rank_error", """
+SELECT 'numVotes' AS "column", true AS within UNION ALL SELECT 'runtimeMinutes', true""")
+def median_rank_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the approximate medians lie within a rank error of 0.1 % of the middle, by counting the rows on either side."""
+    columns = ["runtimeMinutes", "numVotes"]
+    rows = settle(typed_titles(spark, sf_dir).select(*[missing.nan_to_null(name).cast("double").alias(name) for name in columns]))
+    placed = rows.withColumn("_m", impute.median_values(rows, columns, exact=False)).unpivot(["_m"], columns, "column", "value")
+    median = F.when(F.col("column") == columns[0], F.col("_m")[columns[0]]).otherwise(F.col("_m")[columns[1]])
+    known = placed.where("value IS NOT NULL").groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("value") < median).alias("below"), F.count_if(F.col("value") <= median).alias("upto"))
+    slack = F.col("n") * 0.001 + 1
+    return known.select("column", ((F.col("below") <= F.col("n") / 2 + slack) & (F.col("upto") >= F.col("n") / 2 - slack)).alias("within"))
+
+
+@query("source_rejects", """
+SELECT 'id map' AS source, 'tt' || o_orderkey AS id, 'not a whole number' AS reason FROM orders WHERE o_orderkey % 5 = 0
+UNION ALL SELECT 'id map', '{"tt' || o_orderkey || '": 1', 'malformed object' FROM orders WHERE o_orderkey % 31 = 0
+UNION ALL SELECT 'documents', 'tt' || o_orderkey, 'malformed' FROM orders WHERE o_orderkey % 13 = 0
+UNION ALL SELECT 'series', 'file ' || o_custkey % 50, CASE WHEN o_custkey % 50 = 7 THEN 'no header' WHEN o_orderkey % 11 = 0 THEN 'more cells than the header'
+    WHEN o_orderkey % 11 = 1 THEN 'no date' WHEN o_orderkey % 11 = 2 THEN 'not a number' END
+  FROM orders WHERE o_custkey % 50 = 7 OR o_orderkey % 11 < 3""")
+def source_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything that the readers leave out, each with its reason: map entries, mapped documents, lines of series."""
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    k, price = F.col("o_orderkey"), F.col("o_totalprice").cast("string")
+    key = title_id("o_orderkey")
+    good = F.format_string('{"a%d": %d, "%s": ', k, k, key)
+    id_maps = orders.select(F.concat(good, F.when(k % 5 == 0, '"x"').otherwise("3"), F.lit("}")).alias("value")).union(
+        orders.where(k % 31 == 0).select(F.format_string('{"%s": 1', key)))
+    mapped = orders.select(F.format_string(
+        '{"b%d": {"popularity": 1.5}, "%s": %s}', k, key, F.when(k % 13 == 0, '"no object"').otherwise('{"vote_count": 3}')).alias("value"))
+    file = F.format_string("file %d", F.col("o_custkey") % 50)
+    date = F.when(k % 11 == 1, "soon").otherwise(F.col("o_orderdate").cast("date").cast("string"))
+    cells = F.when(k % 11 == 2, "high").otherwise(price)
+    lines = orders.select(file.alias("source"), F.concat_ws(",", date, price, cells, F.when(k % 11 == 0, F.lit("9"))).alias("line"))
+    headers = orders.select(file.alias("source")).distinct().where("source <> 'file 7'").withColumn("line", F.lit("date,one,two"))
+    return (
+        documents.id_map_rejects(id_maps).select(F.lit("id map").alias("source"), "id", "reason")
+        .unionByName(documents.document_map_rejects(mapped).select(F.lit("documents").alias("source"), "id", "reason"))
+        .unionByName(wide_line_rejects(lines.unionByName(headers), "source", "line").select(F.lit("series").alias("source"), "id", "reason"))
+    )
+
+
+@query("features_incremental", f"""
+WITH {V.DOCUMENTS} SELECT tconst, popularity, continent, action, comedy, drama, science_fiction, tv_movie, war FROM features""")
+def features_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table extended: half of the responses were parsed before and are not parsed again."""
+    landed = responses(spark, sf_dir).withColumnRenamed("tconst", "id")
+    even = F.crc32("id") % 2 == 0
+    known = settle(classify.extend_features(landed.where(even), countries(spark, sf_dir)))
+    return classify.extend_features(landed, countries(spark, sf_dir), known).select(
+        "tconst", "popularity", "continent", "action", "comedy", "drama", "science_fiction", "tv_movie", "war")
+
+
 def scaling_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_titles(spark, sf_dir).select(
         "row_id", "startYear", "runtimeMinutes", "numVotes", F.lit(7).alias("constant")
@@ -288,7 +338,7 @@ def wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("source")
     headers = events.select("user_id").distinct().select(source, line(F.lit("date"), names))
     rows = daily.select(source, line(F.col("date").cast("string"), [F.coalesce(name, F.lit("")) for name in TYPES]))
-    return wide_lines_to_long(headers.unionByName(rows), "source", "line", width=len(TYPES) + 1)
+    return wide_lines_to_long(headers.unionByName(rows), "source", "line")
 
 
 SCALED_SQL = "scaled AS (SELECT row_id, " + ", ".join(

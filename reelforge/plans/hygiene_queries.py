@@ -40,7 +40,7 @@ def sentinel_to_default(spark: SparkSession, sf_dir: str) -> DataFrame:
         missing.int_or_default("startYear", -1).alias("year_or_minus_one"),
         missing.int_or_default("endYear", 0).alias("end_or_zero"),
         missing.int_or_default("runtimeMinutes", -1).alias("minutes_or_minus_one"),
-        F.coalesce(missing.nan_to_null("numVotes").cast("int"), F.lit(-1)).alias("votes_or_minus_one"),
+        F.coalesce(missing.nan_to_null("numVotes").try_cast("int"), F.lit(-1)).alias("votes_or_minus_one"),
         missing.text_or_empty("originalTitle").alias("title_or_empty"),
     )
 

@@ -60,13 +60,13 @@ COUNTRIES = """countries AS (
   FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 8 <> 7
 )"""
 
-# what each title's document says, valid documents only; mentions are capped at two by the documents
+# what each title's document says, valid documents only
 DOCUMENTS = QTY + ", " + TITLE_GENRES + ", " + COUNTRIES + """, mentions AS (
   SELECT l_orderkey,
-    least(count(*) FILTER (genre = 'Action'), 2) AS action, least(count(*) FILTER (genre = 'Comedy'), 2) AS comedy,
-    least(count(*) FILTER (genre = 'Drama'), 2) AS drama,
-    least(count(*) FILTER (genre = 'Science Fiction'), 2) AS science_fiction,
-    least(count(*) FILTER (genre = 'TV Movie'), 2) AS tv_movie, least(count(*) FILTER (genre = 'War'), 2) AS war
+    count(*) FILTER (genre = 'Action') AS action, count(*) FILTER (genre = 'Comedy') AS comedy,
+    count(*) FILTER (genre = 'Drama') AS drama,
+    count(*) FILTER (genre = 'Science Fiction') AS science_fiction,
+    count(*) FILTER (genre = 'TV Movie') AS tv_movie, count(*) FILTER (genre = 'War') AS war
   FROM title_genres GROUP BY l_orderkey
 ), docs AS (
   SELECT o_orderkey, 'tt' || o_orderkey AS requested,

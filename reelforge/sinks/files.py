@@ -5,6 +5,7 @@ from math import ceil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelforge.operators.durable import settle
 from reelforge.operators.hygiene import new_rejects
 
 
@@ -58,6 +59,21 @@ def log_rejects(rejects: DataFrame, path: str, logged: DataFrame | None = None)
     new.write.mode("append").parquet(path)
 
 
-def write_batches(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write per-batch output; batches present in ``df`` replace their old files, others stay."""
-    df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+BATCHES_PER_FOLDER = 1_000
+
+
+def write_batches(df: DataFrame, path: str, mode: str = "overwrite", per_folder: int = BATCHES_PER_FOLDER) -> None:
+    """Write per-batch output; batches present in ``df`` replace their old rows, others stay.
+
+    A folder ``batch_range`` holds ``per_folder`` neighbouring batches, written by one task, so that their number stays small. Rows of
+    other batches in a folder that is touched are carried over.
+    """
+    new = df.withColumn("batch_range", F.floor(F.col("batch_id") / per_folder))
+    spark = df.sparkSession
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if mode == "overwrite" and where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        old = spark.read.schema(new.schema).parquet(path)
+        touched = new.select("batch_range").distinct()
+        kept = old.join(touched, "batch_range", "left_semi").join(new.select("batch_id").distinct(), "batch_id", "left_anti")
+        new = settle(new.unionByName(kept))
+    new.repartition("batch_range").write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("batch_range").parquet(path)

@@ -11,22 +11,37 @@ from reelforge.operators.durable import broadcast_if_small, settle
 from reelforge.operators.hygiene import sentinels_to_null
 
 
+def _title_lines(spark: SparkSession, path: str, split: str, skip_files: str | None) -> DataFrame:
+    schema = schemas.TITLES_CSV if split == "train" else schemas.HIDDEN_TITLES_CSV
+    wide = T.StructType([*schema.fields, T.StructField(nested.CORRUPT, T.StringType())])
+    # whole lines are parsed even if few columns are used: only then are faults in the others seen
+    raw = spark.read.option("columnPruning", False).schema(wide).csv(
+        path, header=True, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord=nested.CORRUPT)
+    return raw if skip_files is None else raw.where(~F.col("_metadata.file_name").rlike(skip_files))
+
+
 def read_titles(spark: SparkSession, path: str, split: str, skip_files: str | None = None) -> DataFrame:
     """Title CSVs of one folder or file as typed rows with their ``split``.
 
     The first column is the row id. Files without a label column (any split but ``train``) get a null
-    label. ``skip_files`` is a regular expression: files whose name matches are left out.
+    label. ``skip_files`` is a regular expression: files whose name matches are left out. Malformed lines are in
+    ``title_rejects``.
     """
-    schema = schemas.TITLES_CSV if split == "train" else schemas.HIDDEN_TITLES_CSV
-    raw = spark.read.schema(schema).csv(path, header=True, quote='"', escape='"')
-    if skip_files is not None:
-        raw = raw.where(~F.col("_metadata.file_name").rlike(skip_files))
+    raw = _title_lines(spark, path, split, skip_files)
+    raw = raw.where(F.col(nested.CORRUPT).isNull() & F.col("row_id").isNotNull()).drop(nested.CORRUPT)
     label = F.col("label") if split == "train" else F.lit(None).cast("string")
     return sentinels_to_null(raw.withColumns({"label": label, "split": F.lit(split)})).withColumn(
         "numVotes", missing.to_double("numVotes")
     )
 
 
+def title_rejects(spark: SparkSession, path: str, split: str, skip_files: str | None = None) -> DataFrame:
+    """``(id, reason)`` of title lines with too many or too few fields, or without a whole number as row id."""
+    raw = _title_lines(spark, path, split, skip_files)
+    return raw.where(F.col(nested.CORRUPT).isNotNull() | F.col("row_id").isNull()).select(
+        F.coalesce(F.col(nested.CORRUPT), F.col("tconst")).alias("id"), F.lit("malformed line").alias("reason"))
+
+
 def read_all_titles(spark: SparkSession, train: str, validation: str, test: str,
                     skip_files: str | None = None) -> DataFrame:
     """The three splits as one frame, so that every later step runs once."""
@@ -64,9 +79,14 @@ def read_columnar_credits(spark: SparkSession, path: str, person: str) -> DataFr
         F.coalesce("movie", "tconst").alias("movies"),
         F.coalesce(person, f"{person}_id").alias("people"),
     )
-    return files.select(F.explode("movies").alias("index", "movie"), "people").select(
-        "movie", F.try_element_at("people", F.col("index")).alias(person)
-    )
+    return pair_columns(files, "file", "movies", "people").select(F.col("first").alias("movie"), F.col("second").alias(person))
+
+
+def pair_columns(rows: DataFrame, key: str, first: str, second: str) -> DataFrame:
+    """Two map columns ``{index: value}`` as rows ``(key, index, first, second)``; an index of the first map keeps its row."""
+    left = rows.select(key, F.explode(first).alias("index", "first"))
+    right = rows.select(key, F.explode(second).alias("index", "second"))
+    return left.join(right, [key, "index"], "left")
 
 
 def read_id_map(spark: SparkSession, path: str, indented: bool = False) -> DataFrame:
@@ -96,39 +116,55 @@ def read_table(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     return table.select(*columns) if columns else table
 
 
-def wide_lines_to_long(lines: DataFrame, source: str, line: str, index: str = "date", width: int = 7) -> DataFrame:
+def _wide_cells(lines: DataFrame, source: str, line: str, index: str) -> DataFrame:
+    """Data lines as ``(source, line, cells, names)``; ``names`` is null where the file has no header.
+
+    A file's header is its line whose first field is ``index``. The number of fields is taken from the lines: one
+    more than the most commas of any, which no line can exceed.
+    """
+    lines = lines.select(F.col(source).alias("source"), F.col(line).alias("line"))
+    width = (lines.agg(F.max(F.regexp_count("line", F.lit(",")))).first()[0] or 0) + 1
+    row = F.from_csv("line", ", ".join(f"c{i} string" for i in range(width)))
+    filled = F.reverse(F.array(*[F.col(f"_row.c{i}") for i in range(width)]))
+    last = F.array_position(F.transform(filled, lambda cell: cell.isNotNull()), True)
+    cells = F.reverse(F.slice(filled, F.greatest(last, F.lit(1)).cast("int"), width))
+    parsed = settle(lines.withColumn("_row", row).select("source", "line", cells.alias("cells")))
+    is_header = F.coalesce(F.element_at("cells", 1) == index, F.lit(False))
+    headers = parsed.where(is_header).groupBy("source").agg(F.min("cells").alias("names"))
+    return parsed.where(~is_header).join(broadcast_if_small(settle(headers)), "source", "left")
+
+
+def wide_lines_to_long(lines: DataFrame, source: str, line: str, index: str = "date") -> DataFrame:
     """CSV lines of files with different headers, as ``(source, date, series, value)``.
 
-    ``lines`` holds the raw lines of all files with the file they came from. A file's header is its line
-    whose first field is ``index``; its names are joined to the file's other lines. ``width`` is the most
-    fields a line can have. Fields that are no number (flags, blanks) are left out.
+    ``lines`` holds the raw lines of all files with the file they came from; files may have any number of columns.
+    Blank cells and flags are left out; everything else that gives no row is in ``wide_line_rejects``.
     """
-    fields = ", ".join(f"c{i} string" for i in range(width))
-    cells = F.from_csv(F.col(line), fields)
-    array = F.array(*[F.col(f"_row.c{i}") for i in range(width)])
-    parsed = lines.select(source, cells.alias("_row")).select(source, array.alias("_cells"))
-    is_header = F.element_at("_cells", 1) == index
-    headers = settle(parsed.where(is_header).groupBy(source).agg(F.first("_cells").alias("_names")))
+    rows = _wide_cells(lines, source, line, index).where("names IS NOT NULL AND size(cells) <= size(names)")
     return (
-        parsed.where(~is_header)
-        .join(broadcast_if_small(headers), source)
-        .select(
-            source, F.to_date(F.element_at("_cells", 1)).alias("date"),
-            F.posexplode(F.slice("_cells", 2, width - 1)).alias("_pos", "_text"), "_names",
-        )
-        .select(
-            source, "date",
-            F.element_at("_names", F.col("_pos") + 2).alias("series"),
-            F.col("_text").try_cast("double").alias("value"),
-        )
-        .where(F.col("series").isNotNull() & F.col("value").isNotNull())
+        rows.select(
+            F.col("source").alias(source), F.element_at("cells", 1).try_cast("date").alias("date"),
+            F.posexplode(F.slice("cells", F.lit(2), F.size("cells"))).alias("_pos", "_text"), "names")
+        .select(source, "date", F.get("names", F.col("_pos") + 1).alias("series"), F.col("_text").try_cast("double").alias("value"))
+        .where("date IS NOT NULL AND value IS NOT NULL")
+    )
+
+
+def wide_line_rejects(lines: DataFrame, source: str, line: str, index: str = "date") -> DataFrame:
+    """``(id, line, reason)``: lines of files without a header, longer than their header, without a date, and with cells that are no number or flag."""
+    rows = _wide_cells(lines, source, line, index)
+    words = F.exists(F.slice("cells", F.lit(2), F.size("cells")), lambda cell: ~F.lower(F.trim(cell)).isin("", "true", "false") & cell.try_cast("double").isNull())
+    reason = (
+        F.when(F.col("names").isNull(), "no header").when(F.size("cells") > F.size("names"), "more cells than the header")
+        .when(F.element_at("cells", 1).try_cast("date").isNull(), "no date").when(words, "not a number")
     )
+    return rows.select(F.col("source").alias("id"), "line", reason.alias("reason")).where("reason IS NOT NULL")
 
 
-def read_wide_series(spark: SparkSession, path: str, index: str = "date", width: int = 7) -> DataFrame:
+def read_wide_series(spark: SparkSession, path: str, index: str = "date") -> DataFrame:
     """A folder of wide series files; ``source`` is the file name."""
     lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("source"), "value")
-    return wide_lines_to_long(lines, "source", "value", index, width)
+    return wide_lines_to_long(lines, "source", "value", index)
 
 
 def union_wide_frame(df: DataFrame, index: str, batch) -> DataFrame:

@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from reelforge.operators.durable import broadcast_if_small, settle
+from reelforge.operators.durable import broadcast_if_small, settle, shared_folder
 from reelforge.plans import classify
 
 HEADER = ",tconst,primaryTitle,originalTitle,startYear,endYear,runtimeMinutes,numVotes"
@@ -71,8 +71,8 @@ def test_predictions_line_up_with_titles(inputs, tmp_path):
 
 def test_settled_rows_live_in_the_named_folder(spark):
     frame = settle(spark.range(5))
-    assert spark.sparkContext.getCheckpointDir() is not None
-    assert "Scan ExistingRDD" in frame._jdf.queryExecution().executedPlan().toString()
+    assert all(name.removeprefix("file://").startswith(shared_folder(spark).removeprefix("file://")) for name in frame.inputFiles())
+    assert "FileScan parquet" in frame._jdf.queryExecution().executedPlan().toString()
 
 
 def test_only_small_sides_are_marked(spark):

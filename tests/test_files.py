@@ -148,3 +148,34 @@ def test_append_of_new_documents(spark, tmp_path):
     new = spark.createDataFrame([("t2", 1), (None, 0)], "tconst string, war int")
     sinks.write_parquet(documents.append_features(known, new), str(tmp_path / "features"), mode="errorifexists")
     assert rows_of(spark.read.parquet(str(tmp_path / "features")), "tconst") == [("t1", 1.0, None), ("t2", None, 1)]
+
+
+def test_faulty_title_lines_are_rejected(spark, tmp_path):
+    path = tmp_path / "train.csv"
+    path.write_text(",tconst,primaryTitle,originalTitle,startYear,endYear,runtimeMinutes,numVotes,label\n"
+                    "0,t0,A,,2000,\\N,90,5.0,True\nnone,t1,B,,2001,\\N,91,6.0,False\n2,t2,C\n3,t3,D,,2002,\\N,92,7.0,True\n")
+    assert [r.tconst for r in sources.read_titles(spark, str(path), "train").select("tconst").collect()] == ["t0", "t3"]
+    rejects = sources.title_rejects(spark, str(path), "train").collect()
+    assert sorted(r.id.split(",")[1] if "," in r.id else r.id for r in rejects) == ["t1", "t2"]
+
+
+def test_series_of_any_width_and_header(spark):
+    names = ["week", *(f"s{i}" for i in range(12))]
+    lines = [("a", ",".join(names)), ("a", "2020-01-05," + ",".join(str(i) for i in range(12))), ("a", "2020-01-12,1,True,x"),
+             ("a", "2020-01-19," + ",".join("1" * 13)), ("a", "soon,1"), ("b", "2020-01-05,1,2"), ("a", "2020-01-26,5,,")]
+    frame = spark.createDataFrame(lines, "file string, text string")
+    long = sources.wide_lines_to_long(frame, "file", "text", "week")
+    assert sorted((str(r.date), r.series, r.value) for r in long.collect()) == sorted(
+        [("2020-01-05", f"s{i}", float(i)) for i in range(12)] + [("2020-01-12", "s0", 1.0), ("2020-01-26", "s0", 5.0)])
+    rejects = {(r.id, r.reason) for r in sources.wide_line_rejects(frame, "file", "text", "week").collect()}
+    assert rejects == {("a", "not a number"), ("a", "more cells than the header"), ("a", "no date"), ("b", "no header")}
+
+
+def test_one_bad_entry_loses_nothing_else(spark):
+    rows = spark.createDataFrame([('{"b": 2, "c": "x", "d": null}',), ("{broken",), (None,)], "value string")
+    assert rows_of(documents.id_map_rows(rows), "imdb_id") == [("b", 2)]
+    assert rows_of(documents.id_map_rejects(rows), "id") == [
+        ("c", "not a whole number"), ("d", "not a whole number"), ("{broken", "malformed object")]
+    mapped = spark.createDataFrame([('{"t1": {"popularity": 1.5}, "t2": 7, "t3": {"genres": 1}}',), ("[",)], "value string")
+    assert ("t1", 1.5) in rows_of(documents.document_map_rows(mapped).select("id", "document.popularity"), "id")
+    assert {("t2", "malformed"), ("[", "malformed object")} <= set(rows_of(documents.document_map_rejects(mapped), "id"))

@@ -3,21 +3,20 @@
 import pytest
 
 import __spark_entry__ as contract
+from reelforge.plans.catalog import QUERIES
 from tools.check import oracle, ordered
 
-SLOW = {"cv_grid"}
-
 
 @pytest.fixture(scope="module")
 def connection(small_dir):
     return oracle(small_dir)
 
 
-@pytest.mark.parametrize("name", [name for name in contract.queries() if name not in SLOW])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, connection, small_dir, name):
-    frame = contract.queries()[name](spark, small_dir)
+    frame = QUERIES[name].build(spark, small_dir)
     rows = [tuple(row) for row in frame.collect()]
-    sql = contract.oracle_sql().get(name)
+    sql = QUERIES[name].sql
     if sql is None:
         assert rows
         return
