@@ -103,9 +103,9 @@ def test_language_of_odd_documents(odd_docs, no_docs):
 
 
 def test_many_languages(spark):
-    """More languages than bits of a word."""
+    """More languages than bits of a word; their letters have no case."""
     names = [f"l{i:02d}" for i in range(70)]
-    rows = [(64 * k + i, f"{chr(0x100 + i) * 3} {chr(0x100 + i)}{chr(0x200 + i)} " * 5, names[i], "s", 1) for i in range(70) for k in range(4)]
+    rows = [(64 * k + i, f"{chr(0x4E00 + i) * 3} {chr(0x4E00 + i)}{chr(0x5E00 + i)} " * 5, names[i], "s", 1) for i in range(70) for k in range(4)]
     docs = spark.createDataFrame([(n, t, lang, s, c) for n, (_, t, lang, s, c) in enumerate(rows)], COLUMNS)
     found = language.identify(docs).select("_doc.lang", "lang_pred").collect()
     assert sum(r.lang == r.lang_pred for r in found) >= 0.97 * len(found)
