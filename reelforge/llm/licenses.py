@@ -1,6 +1,8 @@
 """Licence notices in texts, by Dice coefficient over word bigrams (operator 2). DataFrame functions only."""
 
+from functools import reduce
 from math import ceil, floor
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,12 +47,27 @@ def _plain_bigrams(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
 
 
+def telling_words(grams: list[str], least: float) -> list[str]:
+    """Words of which a unit must hold one to reach ``least`` against a template.
+
+    A unit that reaches it shares all but b (2 - 2 t) / (2 - t) of the template's b bigrams, so of one bigram more it holds at
+    least one, and with it that bigram's words. The bigrams with the longest words are taken, as the rarest.
+    """
+    longest = sorted((max(gram.split(), key=len) for gram in grams), key=lambda word: (-len(word), word))
+    return longest[: floor(len(grams) * (2 - 2 * least) / (2 - least) + 1e-9) + 1]
+
+
+def _holds_any(text: Column, words: list[str]) -> Column:
+    return reduce(or_, [F.contains(text, F.lit(word)) for word in words])
+
+
 def licence_hits(docs: DataFrame, templates: tuple = TEMPLATES, least: float = LEAST_DICE) -> DataFrame:
     """One row per document with notices: ``doc_id``, ``_text`` (hash of the text), ``hits`` of ``(unit, licence, dice)``.
 
     Units are the lines of the text from 0, and the whole text as unit -1 where it has several lines. A unit's licence is the
     template with the largest Dice coefficient of at least ``least`` (ties: the name first in order). A template is compared
-    only with units whose number of bigrams can reach it: Dice is at most 2 min / (a + b). Null and empty texts, and
+    only with units whose number of bigrams can reach it: Dice is at most 2 min / (a + b). Texts and units that hold none of
+    the templates' telling words are left out before they are cut into bigrams; none of them can reach ``least``. Null and empty texts, and
     units of one word, have no hits. Rows that repeat ``doc_id`` and text count as one.
     """
     texts = docs.select("doc_id", whole_text().alias("text")).withColumn("_text", F.xxhash64("text"))
@@ -62,10 +79,12 @@ def licence_hits(docs: DataFrame, templates: tuple = TEMPLATES, least: float = L
     sets = [(name, _plain_bigrams(text)) for name, text in templates]
     low = [ceil(least * len(grams) / (2 - least)) for _, grams in sets]
     high = [floor((2 - least) / least * len(grams)) for _, grams in sets]
-    spaces = F.regexp_count("words", F.lit(r"[\p{L}\p{N}]+"))
+    every = {word for _, grams in sets for word in telling_words(grams, least)}
+    telling = sorted(word for word in every if not any(other != word and other in word for other in every))
     cut = (
-        texts.select("doc_id", "_text", F.explode(units).alias("_u")).select("doc_id", "_text", "_u.*")
-        .where(spaces > min(low)).withColumn("_grams", bigrams(F.col("words")))
+        texts.where(_holds_any(F.lower("text"), telling))
+        .select("doc_id", "_text", F.explode(units).alias("_u")).select("doc_id", "_text", "_u.*")
+        .where(_holds_any(F.lower("words"), telling)).withColumn("_grams", bigrams(F.col("words")))
     )
     cut = cut.withColumn("_n", F.size("_grams")).where(F.col("_n").between(min(low), max(high)))
 

@@ -18,7 +18,7 @@ LEAST = 0.8
 RECALL = 0.99999
 ROWS_PER_BAND = 5
 BLOCK_NGRAMS = 1 << 15
-PIECE_BYTES = 1 << 22
+PIECE_BYTES = 1 << 20
 SEED = 5
 
 
@@ -98,7 +98,8 @@ def _linked(least: float):
     """Links between the sets of two blocks: per set its number of linked documents, and a forest of the links."""
     def linked(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for number in range(batch.num_rows):  # one pair of blocks at a time
+                row = {name: batch.column(name)[number].as_py() for name in batch.schema.names}
                 own = row["left"] == row["right"]
                 left = row["ours"]
                 right = left if own else row["theirs"]
