@@ -32,15 +32,19 @@ def run_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw titles from orders: sentinels, misplaced and illegal years, NaN votes, textual labels."""
+def titles(spark: SparkSession, sf_dir: str, with_run_times: bool = True) -> DataFrame:
+    """Raw titles from orders: sentinels, misplaced and illegal years, NaN votes, textual labels.
+
+    Run times are sums over the line items; without them that table is not read.
+    """
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus",
                    "o_orderpriority")
     k = F.col("o_orderkey")
     year = F.year("o_orderdate").cast("string")
     priority = F.col("o_orderpriority")
     no_year = F.when(k % 3 == 0, r"\N").when(k % 3 == 1, "nan").otherwise("NULL")
-    return orders.join(run_times(spark, sf_dir), "o_orderkey", "left").select(
+    timed = orders.join(run_times(spark, sf_dir), "o_orderkey", "left") if with_run_times else orders.withColumn("minutes", F.lit(None).cast("int"))
+    raw = timed.select(
         k.alias("row_id"),
         title_id("o_orderkey").alias("tconst"),
         priority.alias("primaryTitle"),
@@ -55,6 +59,7 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", "True").otherwise("False").alias("label"),
         F.when(k % 10 == 0, "validation").when(k % 10 == 1, "test").otherwise("train").alias("split"),
     )
+    return raw if with_run_times else raw.drop("runtimeMinutes")
 
 
 def directing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,16 +80,21 @@ def writing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def title_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item: title and genre."""
+def row_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line item: number of the title's row and genre."""
     lines = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey")
     parts = table(spark, sf_dir, "part", "p_partkey", "p_type")
     pairs = [F.lit(text) for pair in TYPE_GENRES.items() for text in pair]
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
-        title_id("l_orderkey").alias("tconst"), F.create_map(*pairs)[F.col("p_type")].alias("genre")
+        F.col("l_orderkey").alias("row_id"), F.create_map(*pairs)[F.col("p_type")].alias("genre")
     )
 
 
+def title_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line item: title and genre."""
+    return row_genres(spark, sf_dir).select(title_id("row_id").alias("tconst"), "genre")
+
+
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations as the country lookup: some withheld, one with an empty region."""
     nations = table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")

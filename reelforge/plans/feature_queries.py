@@ -15,7 +15,7 @@ from reelforge.plans.bindings import (
 from reelforge.plans.bindings import series as series_rows
 from reelforge.plans.profile_queries import typed_titles
 from reelforge.plans.registry import query
-from reelforge.sources.files import wide_line_rejects, wide_lines_to_long
+from reelforge.sources.files import pair_columns, wide_line_rejects, wide_lines_to_long
 
 SNAKE = [name.lower().replace(" ", "_") for name in GENRES]
 
@@ -226,6 +226,20 @@ def source_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("columnar_credits", """
+SELECT 'customer ' || o_custkey AS file, 'tt' || o_orderkey AS movie, CASE WHEN o_orderkey % 7 <> 0 THEN 's' || o_orderkey % 9 END AS director
+FROM orders""")
+def columnar_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Credits in the layout ``{column: {index: value}}``, one object per customer; some indexes have no person."""
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    k = F.col("o_orderkey")
+    person = F.concat(F.lit("s"), (k % 9).cast("string"))
+    files = orders.groupBy(F.format_string("customer %d", F.col("o_custkey")).alias("file")).agg(
+        F.map_from_entries(F.collect_list(F.struct(k.cast("string"), title_id("o_orderkey")))).alias("movies"),
+        F.map_from_entries(F.collect_list(F.when(k % 7 != 0, F.struct(k.cast("string"), person)))).alias("people"))
+    return pair_columns(files, "file", "movies", "people").select("file", F.col("first").alias("movie"), F.col("second").alias("director"))
+
+
 @query("features_incremental", f"""
 WITH {V.DOCUMENTS} SELECT tconst, popularity, continent, action, comedy, drama, science_fiction, tv_movie, war FROM features""")
 def features_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:

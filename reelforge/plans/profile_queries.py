@@ -8,7 +8,7 @@ from reelforge.operators import hygiene, profile
 from reelforge.operators.documents import genre_rollup
 from reelforge.operators.durable import settle
 from reelforge.plans import sql_views as V
-from reelforge.plans.bindings import directing, features, table, title_genres, titles, writing
+from reelforge.plans.bindings import directing, features, row_genres, table, titles, writing
 from reelforge.plans.registry import query
 
 
@@ -29,9 +29,9 @@ SELECT start_year AS "startYear", count(*) AS n_titles, round(avg(votes), 4) AS
 FROM clean JOIN genres USING (tconst) WHERE start_year IS NOT NULL GROUP BY start_year""")
 def year_repair_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Years repaired, titles joined with their genres, votes profiled per year."""
-    genres = genre_rollup(title_genres(spark, sf_dir), "tconst", "genre", ["Action", "Science Fiction"], counts=False)
-    rows = typed_titles(spark, sf_dir).select("tconst", "startYear", "numVotes").join(genres, "tconst")
-    rows = settle(rows.where("startYear is not null"))
+    genres = genre_rollup(row_genres(spark, sf_dir), "row_id", "genre", ["Action", "Science Fiction"], counts=False)
+    repaired = hygiene.restore_years(hygiene.sentinels_to_null(titles(spark, sf_dir, with_run_times=False)))
+    rows = settle(repaired.where("startYear is not null").select("row_id", "startYear", "numVotes").join(genres, "row_id"))
     counts = rows.groupBy("startYear").agg(
         F.count(F.lit(1)).alias("n_titles"), F.round(F.avg("numVotes"), 4).alias("mean_votes"),
         F.sum("action").alias("n_action"), F.sum("science_fiction").alias("n_science_fiction"),

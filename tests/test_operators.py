@@ -195,11 +195,12 @@ def test_exact_quantiles(spark, data):
                 assert math.isclose(row[name], np.quantile(values, p), rel_tol=1e-12, abs_tol=1e-9)
 
 
-def test_exact_quantiles_of_large_skewed_groups(spark):
+@pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 0, "hot_rows": 1_000, "bracket_rows": 50}])
+def test_exact_quantiles_of_large_skewed_groups(spark, limits):
     frame = spark.range(200_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("g"),
         F.when(F.col("id") % 4 == 0, 7.0).otherwise((F.col("id") * 7919 % 100_003).cast("double")).alias("v"))
-    got = {r["g"]: (r["m"], r["q"]) for r in quantiles.exact_quantiles(frame, ["g"], "v", {"m": 0.5, "q": 0.9}, 100).collect()}
+    got = {r["g"]: (r["m"], r["q"]) for r in quantiles.exact_quantiles(frame, ["g"], "v", {"m": 0.5, "q": 0.9}, 100, **limits).collect()}
     expected = {r["g"]: (r["m"], r["q"]) for r in frame.groupBy("g").agg(
         F.percentile("v", 0.5).alias("m"), F.percentile("v", 0.9).alias("q")).collect()}
     assert got.keys() == expected.keys()
