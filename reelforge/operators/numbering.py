@@ -1,41 +1,32 @@
 """Global row numbers without a single-task window."""
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelforge.operators.durable import broadcast_if_small, settle
+
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 20_000
 
 
 def with_position(df: DataFrame, order_by: str, alias: str = "position", buckets: int | None = None) -> DataFrame:
-    """Add the 0-based position of each row in the order of a numeric column with unique values.
+    """Add the 0-based position of each row in the order of a column with unique values.
 
-    The column's approximate quantiles cut the rows into equal buckets; the cuts are plain numbers, so a
-    retried task puts every row in the same bucket again. Rows are numbered inside their bucket, and the
-    sizes of the earlier buckets (at most ``MAX_BUCKETS`` rows, broadcast) are added. Buckets hold about
-    ``ROWS_PER_BUCKET`` rows, more only beyond 2 * 10^10 rows. Reads ``df`` four times; settle it first if it
-    is costly to compute.
+    The rows are dealt by range into buckets of about ``ROWS_PER_BUCKET`` rows, as many as that takes, and stored with their
+    bucket, so that a retried task finds every row where it was. Rows are numbered inside their bucket, and the sizes of
+    the earlier buckets are added; only the table of bucket sizes is summed in one task. Counts ``df`` first; settle it if
+    it is costly to compute.
     """
     if buckets is None:
-        buckets = min(MAX_BUCKETS, df.count() // ROWS_PER_BUCKET + 1)
-    buckets = max(2, buckets)
-    cuts = df.agg(
-        F.percentile_approx(F.col(order_by).cast("double"), [i / buckets for i in range(1, buckets)], 10 * buckets)
-    ).first()[0]
-    splits = [float("-inf"), *sorted(set(cuts or [0.0])), float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="_order", outputCol="_bucket").transform(
-        df.withColumn("_order", F.col(order_by).cast("double"))
-    )
+        buckets = df.count() // ROWS_PER_BUCKET + 1
+    bucketed = settle(df.repartitionByRange(max(1, buckets), order_by).withColumn("_bucket", F.spark_partition_id()))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    offsets = settle(
         bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
+        .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
     inside = Window.partitionBy("_bucket").orderBy(order_by)
     return (
         bucketed.withColumn("_rank", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_bucket")
+        .join(broadcast_if_small(offsets), "_bucket")
         .withColumn(alias, F.col("_offset") + F.col("_rank") - 1)
-        .drop("_order", "_bucket", "_rank", "_offset")
+        .drop("_bucket", "_rank", "_offset")
     )

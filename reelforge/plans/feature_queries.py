@@ -325,7 +325,7 @@ def anchor_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.anchor_normalized(series_rows(spark, sf_dir), "click", 1).withColumn("value", F.round("value", 4))
 
 
-TYPES = ["click", "error", "purchase", "signup", "view"]
+MOST_TYPES = 1_000
 
 
 @query("wide_to_long", """
@@ -339,19 +339,22 @@ def wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     depends on the user, names with commas for some users.
     """
     events = table(spark, sf_dir, "events", "user_id", "event_type", "value", "ts")
+    types = sorted(row[0] for row in events.select("event_type").distinct().limit(MOST_TYPES + 1).collect())
+    if len(types) > MOST_TYPES:
+        raise ValueError(f"more than {MOST_TYPES} types of event: too many for one column each")
     daily = events.groupBy("user_id", F.to_date("ts").alias("date")).agg(*[
         F.round(F.sum(F.when(F.col("event_type") == name, F.col("value"))), 2).cast("decimal(18,2)").cast("string").alias(name)
-        for name in TYPES
+        for name in types
     ])
 
     def line(first, cells: list):
         forward, backward = F.concat_ws(",", first, *cells), F.concat_ws(",", first, *cells[::-1])
         return F.when(F.col("user_id") % 2 == 0, forward).otherwise(backward).alias("line")
 
-    names = [F.when(F.col("user_id") % 3 == 0, F.lit(f'"{name}, titled"')).otherwise(F.lit(name)) for name in TYPES]
+    names = [F.when(F.col("user_id") % 3 == 0, F.lit(f'"{name}, titled"')).otherwise(F.lit(name)) for name in types]
     source = F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("source")
     headers = events.select("user_id").distinct().select(source, line(F.lit("date"), names))
-    rows = daily.select(source, line(F.col("date").cast("string"), [F.coalesce(name, F.lit("")) for name in TYPES]))
+    rows = daily.select(source, line(F.col("date").cast("string"), [F.coalesce(name, F.lit("")) for name in types]))
     return wide_lines_to_long(headers.unionByName(rows), "source", "line")
 
 
