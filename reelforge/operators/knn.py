@@ -13,7 +13,8 @@ How the work is cut down:
 * Donors of a unit that lack the same columns form a *family*. Families are cut into cells by median
   splits taken from a sample of bounded size; the sample places the borders and nothing else.
 * Counts and bounding boxes of the cells (at most ``MAX_CELLS`` plus one per family) are known to every
-  task. For each question they give a radius that surely holds k donors; only cells that meet it are
+  task. Questions are cut into blocks of neighbours; a block's bounding box leaves out the cells that none of its questions
+  can need. For each question the others give a radius that surely holds k donors; only cells that meet it are
   joined, and only donors inside it are ranked.
 """
 
@@ -28,7 +29,9 @@ from reelforge.constants import NEIGHBOURS
 from reelforge.functions.missing import nan_to_null
 from reelforge.operators.durable import settle
 
-MAX_COLUMNS = 8
+MAX_COLUMNS = 40  # a family's number holds a bit per column beside that of its unit
+MAX_PATTERNS = 10_000
+BLOCK = 256
 MAX_CELLS = 200_000
 CELL_ROWS = 64
 SAMPLE_PER_CELL = 10
@@ -48,7 +51,7 @@ def knn_impute(df: DataFrame, key: str, columns: list[str], k: int = NEIGHBOURS)
     rows = df.select(
         F.col(key).alias("key"), *[nan_to_null(F.col(name).cast("double")).alias(x) for name, x in zip(columns, names)]
     )
-    has = sum((F.when(F.col(x).isNotNull(), 1 << i).otherwise(0) for i, x in enumerate(names)), F.lit(0))
+    has = sum((F.when(F.col(x).isNotNull(), F.lit(1 << i).cast("long")).otherwise(0) for i, x in enumerate(names)), F.lit(0).cast("long"))
     rows = settle(rows.withColumn("has", has))
     means = rows.agg(F.struct(*[F.avg(x).alias(x) for x in names]).alias("m")).scalar()
 
@@ -66,13 +69,14 @@ def _estimates(rows: DataFrame, names: list[str], k: int) -> DataFrame | None:
     """``key, near_0, near_1, ...`` for the rows that miss something; None when no row does."""
     width = len(names)
     full = (1 << width) - 1
-    # at most 2 ^ MAX_COLUMNS patterns
-    patterns = [row.has for row in rows.where(F.col("has") != full).select("has").distinct().collect()]
+    patterns = [row.has for row in rows.where(F.col("has") != full).select("has").distinct().limit(MAX_PATTERNS + 1).collect()]
+    if len(patterns) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} patterns of missing columns")
     units = [(pattern, i) for pattern in sorted(patterns) if pattern for i in range(width) if not pattern >> i & 1]
     if not units:
         return None
     unit_list = F.array(*[
-        F.struct(F.lit(u).alias("unit"), F.lit(pattern).alias("pattern"), F.lit(i).alias("target"))
+        F.struct(F.lit(u).alias("unit"), F.lit(pattern).cast("long").alias("pattern"), F.lit(i).alias("target"))
         for u, (pattern, i) in enumerate(units)
     ])
 
@@ -132,7 +136,7 @@ def _donors(rows: DataFrame, unit_list, names: list[str], k: int) -> DataFrame:
         has_target = F.col("has").bitwiseAND(F.element_at(powers, u["target"] + 1)) != 0
         return has_target & (F.col("has").bitwiseAND(u["pattern"]) != 0)
 
-    powers = F.array(*[F.lit(1 << i) for i in range(width)])
+    powers = F.array(*[F.lit(1 << i).cast("long") for i in range(width)])
     offered = rows.select(
         F.col("key").alias("donor"), "has", *names, F.explode(F.filter(unit_list, usable)).alias("u")
     )
@@ -141,7 +145,7 @@ def _donors(rows: DataFrame, unit_list, names: list[str], k: int) -> DataFrame:
         "donor",
         (F.col("u.unit").cast("long") * (1 << width) + shared).alias("family"),
         F.element_at(F.array(*names), F.col("u.target") + 1).alias("value"),
-        *[F.when(shared.bitwiseAND(F.lit(1 << i)) != 0, F.col(x)).otherwise(0.0).alias(x) for i, x in enumerate(names)],
+        *[F.when(shared.bitwiseAND(F.lit(1 << i).cast("long")) != 0, F.col(x)).otherwise(0.0).alias(x) for i, x in enumerate(names)],
     )
     same_place = Window.partitionBy("family", *names).orderBy("donor")
     return projected.withColumn("rank", F.row_number().over(same_place)).where(F.col("rank") <= k).drop("rank")
@@ -241,38 +245,58 @@ def _cells_in_reach(by_unit: dict[int, tuple], names: list[str], k: int):
     width = len(names)
 
     # local, so that it travels to the workers by value
-    def bounds(asked, lo, hi, counts_column, weight):
-        least = np.zeros((len(asked), len(lo)))
-        most = np.zeros((len(asked), len(lo)))
+    def bounds(low, high, lo, hi, counts_column, weight):
+        """Least and most distance of boxes of questions to boxes of cells."""
+        least = np.zeros((len(low), len(lo)))
+        most = np.zeros((len(low), len(lo)))
         for i in range(width):
-            below, above = lo[None, :, i] - asked[:, None, i], asked[:, None, i] - hi[None, :, i]
+            below, above = lo[None, :, i] - high[:, None, i], low[:, None, i] - hi[None, :, i]
             least += counts_column[:, i] * np.maximum(np.maximum(below, above), 0.0) ** 2
-            most += counts_column[:, i] * np.maximum(np.abs(below), np.abs(above)) ** 2
+            most += counts_column[:, i] * np.maximum(np.abs(lo[None, :, i] - high[:, None, i]), np.abs(hi[None, :, i] - low[:, None, i])) ** 2
         return least * weight, most * weight
 
+    def radii(most, n):
+        order = np.argsort(most, axis=1)
+        enough = np.cumsum(n[order], axis=1) >= k
+        line = np.arange(len(most))
+        radius = np.where(enough.any(axis=1), most[line, order[line, np.argmax(enough, axis=1)]], np.inf)
+        return radius * (1 + 1e-9) + 1e-12
+
+    def blocks(points):
+        """Row numbers of neighbours, halved along the widest column until few are left."""
+        waiting = [np.arange(len(points))]
+        while waiting:
+            at = waiting.pop()
+            if len(at) <= BLOCK:
+                yield at
+                continue
+            inside = points[at]
+            order = at[np.argsort(inside[:, np.argmax(np.ptp(inside, axis=0))], kind="stable")]
+            waiting += [order[: len(at) // 2], order[len(at) // 2 :]]
+
     def reach(batches):
         for batch in batches:
             for unit, questions in batch.groupby("unit"):
                 if unit not in by_unit:
                     continue
-                cells, n, lo, hi, counts_column, weight = by_unit[unit]
-                step = max(1, 1_000_000 // len(cells))
-                for start in range(0, len(questions), step):
-                    part = questions.iloc[start:start + step]
-                    asked = part[names].to_numpy()
-                    least, most = bounds(asked, lo, hi, counts_column, weight)
-                    order = np.argsort(most, axis=1)
-                    enough = np.cumsum(n[order], axis=1) >= k
-                    at = np.argmax(enough, axis=1)
-                    line = np.arange(len(asked))
-                    radius = np.where(enough.any(axis=1), most[line, order[line, at]], np.inf)
-                    radius = radius * (1 + 1e-9) + 1e-12
-                    who, which = np.nonzero(least <= radius[:, None])
-                    near = asked[who] * counts_column[which]
-                    yield pd.DataFrame({
-                        "question": part["question"].to_numpy()[who], "cell": cells[which],
-                        **{f"q_{x}": near[:, i] for i, x in enumerate(names)},
-                        "weight": weight[which], "radius": radius[who],
-                    })
+                points, numbers = questions[names].to_numpy(), questions["question"].to_numpy()
+                for rows in blocks(points):
+                    asked = points[rows]
+                    cells, n, lo, hi, counts_column, weight = by_unit[unit]
+                    least, most = bounds(asked.min(axis=0)[None], asked.max(axis=0)[None], lo, hi, counts_column, weight)
+                    inside = np.flatnonzero(least[0] <= radii(most, n)[0])
+                    cells, n, lo, hi, counts_column, weight = (part[inside] for part in by_unit[unit])
+                    step = max(1, 1_000_000 // len(cells))
+                    for start in range(0, len(rows), step):
+                        part = asked[start : start + step]
+                        least, most = bounds(part, part, lo, hi, counts_column, weight)
+                        radius = radii(most, n)
+                        who, which = np.nonzero(least <= radius[:, None])
+                        near = part[who] * counts_column[which]
+                        yield pd.DataFrame({
+                            "question": numbers[rows[start : start + step]][who], "cell": cells[which],
+                            **{f"q_{x}": near[:, i] for i, x in enumerate(names)},
+                            "weight": weight[which], "radius": radius[who],
+                        })
 
     return reach

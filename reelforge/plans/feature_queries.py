@@ -385,3 +385,31 @@ def knn_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
     scaled = impute.scale_min_max(scaling_input(spark, sf_dir), list(SCALED))
     filled = knn.knn_impute(scaled, "row_id", list(SCALED))
     return filled.select("row_id", *[F.round(name, 6).alias(name) for name in SCALED])
+
+
+SIX = "abcdef"
+
+
+def _six_present() -> str:
+    return " + ".join(f"(r.{x} IS NOT NULL AND d.{x} IS NOT NULL)::INTEGER" for x in SIX)
+
+
+def _six_nearest(target: str) -> str:
+    squares = " + ".join(f"coalesce((r.{x} - d.{x}) * (r.{x} - d.{x}), 0)" for x in SIX)
+    return f"""{target}_near AS (SELECT vec_id, avg(value) AS {target}_value FROM (
+      SELECT r.vec_id, d.{target} AS value FROM six r JOIN six d ON r.{target} IS NULL AND d.{target} IS NOT NULL WHERE {_six_present()} > 0
+      QUALIFY row_number() OVER (PARTITION BY r.vec_id ORDER BY (6::DOUBLE / ({_six_present()})) * ({squares}), d.vec_id) <= 5) GROUP BY vec_id)"""
+
+
+@query("knn_embeddings", f"""
+WITH six AS (SELECT vec_id, {", ".join(f"CASE WHEN (vec_id * 7 + {i}) % 11 > {i % 2} THEN embedding[{i + 1}]::DOUBLE END AS {x}" for i, x in enumerate(SIX))}
+  FROM embeddings), {", ".join(_six_nearest(x) for x in SIX)}
+SELECT s.vec_id, {", ".join(f"round(coalesce({x}, {x}_value, (SELECT avg({x}) FROM six)), 6) AS {x}" for x in SIX)}
+FROM six s {" ".join(f"LEFT JOIN {x}_near USING (vec_id)" for x in SIX)}""")
+def knn_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six columns of the vectors, each missing in a tenth of the rows or more, from the five nearest rows."""
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    six = vectors.select("vec_id", *[
+        F.when((F.col("vec_id") * 7 + i) % 11 > i % 2, F.col("embedding")[i].cast("double")).alias(x) for i, x in enumerate(SIX)])
+    filled = knn.knn_impute(six, "vec_id", list(SIX))
+    return filled.select("vec_id", *[F.round(x, 6).alias(x) for x in SIX])
