@@ -22,7 +22,7 @@ def partitions_for(df: DataFrame, bytes_each: int = PARTITION_BYTES) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), wanted)
 
 
-def carried(docs: DataFrame, *names: str) -> DataFrame:
+def carried(docs: DataFrame, *names: str | Column) -> DataFrame:
     """``docs`` as one column ``_doc`` beside the named ones: its other columns may have any names."""
     every = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
     return docs.select(every.alias("_doc"), *names)

@@ -22,15 +22,14 @@ def _segment(length: Column, number: int, distance: int) -> tuple[Column, Column
     return start.cast("int"), (base + F.when(F.lit(number) >= F.lit(parts) - longer, 1).otherwise(0)).cast("int")
 
 
-def segment_keys(line: Column, distance: int) -> Column:
-    """Array of ``(key, probe)``: the line's own segments (``probe`` false) and the substrings it looks up (true).
+def segment_keys(line: Column, length: Column, distance: int) -> Column:
+    """Array of ``(key, probe)``, or null: the line's own segments (``probe`` false) and the substrings it looks up (true).
 
     Lines within ``distance`` edits share a segment of the shorter one, at nearly the same place in the longer one: for a
     line shorter by d, segment i (from 0) starts at most i places from its own place and at most distance - i
     places from that place shifted by d. A key is a hash of the indexed line's length, the segment's number and its
     characters. A line's own segments are at once its look-ups among lines of its length at the same place.
     """
-    length = F.length(line)
     keys = []
     for number in range(distance + 1):
         start, size = _segment(length, number, distance)
@@ -46,15 +45,15 @@ def segment_keys(line: Column, distance: int) -> Column:
                 inside = (at >= 0) & (at + size <= length) & (length > shorter)
                 key = F.xxhash64(length - shorter, F.lit(number), F.substring(line, at + 1, size))
                 keys.append(F.when(inside, F.struct(key.alias("key"), F.lit(True).alias("probe"))))
-    return F.array_compact(F.array(*keys))
+    return F.array(*keys)
 
 
 def compared_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     """The lines that are compared: ``place`` (``doc_id``, hash of the text, number from 0), ``line`` without outer blanks, its hash."""
     texts = docs.select("doc_id", whole_text().alias("text")).withColumn("hash", F.xxhash64("text"))
     lines = texts.select("doc_id", "hash", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    lines = lines.select(F.struct("doc_id", "hash", "at").alias("place"), F.trim("line").alias("line")).where(F.length("line") >= least_chars)
-    return lines.withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), F.col("line"))})
+    lines = lines.select(F.struct("doc_id", "hash", "at").alias("place"), F.trim("line").alias("line")).withColumn("size", F.length("line"))
+    return lines.where(F.col("size") >= least_chars).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), F.col("line"))})
 
 
 def near_lines(lines: DataFrame, distance: int = DISTANCE) -> DataFrame:
@@ -64,10 +63,10 @@ def near_lines(lines: DataFrame, distance: int = DISTANCE) -> DataFrame:
     that only lines with a possible partner are shuffled with their text; the distance is part of the join's condition, and no
     pair is made that is not a link.
     """
-    keyed = lines.withColumn("_k", F.explode(segment_keys(F.col("line"), distance))).select("place", "line", "h1", "h2", "_k.*")
+    keyed = lines.withColumn("_k", F.explode(segment_keys(F.col("line"), F.col("size"), distance))).where("_k IS NOT NULL").select("place", "line", "h1", "_k.*")
     shared = (
-        keyed.groupBy("key").agg(*[f(h).alias(f"{n}_{h}") for h in ("h1", "h2") for n, f in (("min", F.min), ("max", F.max))], F.min("probe").alias("probe"))
-        .where("NOT probe AND (min_h1 <> max_h1 OR min_h2 <> max_h2)").select("key")
+        keyed.groupBy("key").agg(F.min("h1").alias("least"), F.max("h1").alias("most"), F.min("probe").alias("probe"))
+        .where("NOT probe AND least <> most").select("key")
     )
     met = settle(may_hold(keyed, bitmap_of(shared, "key"), F.col("key")).groupBy("key", "probe", "line").agg(F.min("place").alias("first")), "lines")
     indexed = met.where("NOT probe").select("key", "line", "first")
@@ -98,7 +97,7 @@ def repeated_lines(docs: DataFrame, distance: int = DISTANCE, least_chars: int =
     )
     rules = settle(near.unionByName(many).groupBy("h1", "h2").agg(F.max("near").alias("near"), F.max("first").alias("first")), "rules")
     gone = (
-        may_hold(lines.drop("line"), bitmap_of(rules, "h1"), F.col("h1")).join(rules, ["h1", "h2"])
+        may_hold(lines.drop("line", "size"), bitmap_of(rules, "h1"), F.col("h1")).join(rules, ["h1", "h2"])
         .where(F.col("near") | (F.col("place") != F.col("first")))
     )
     return gone.groupBy(F.col("place.doc_id").alias("doc_id"), F.col("place.hash").alias("hash")).agg(
@@ -106,11 +105,11 @@ def repeated_lines(docs: DataFrame, distance: int = DISTANCE, least_chars: int =
 
 
 def with_dropped_lines(docs: DataFrame, **settings) -> DataFrame:
-    """``_doc`` (all columns of ``docs``), ``doc_id``, ``text`` and ``_dropped``: the numbers of the lines to take out, or null."""
+    """``_doc`` (all columns of ``docs``) and ``_dropped``: the numbers of the lines to take out, or null."""
     gone = repeated_lines(docs, **settings).withColumnsRenamed({"doc_id": "_id", "hash": "_gone", "dropped": "_dropped"})
-    return carried(docs, "doc_id", "text").withColumn("_hash", F.xxhash64(whole_text())).join(
-        gone, (F.col("_hash") == F.col("_gone")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left"
-    ).select("_doc", "doc_id", "text", "_dropped")
+    keyed = carried(docs, "doc_id", F.xxhash64(whole_text()).alias("_hash"))  # the text travels once, inside _doc
+    return keyed.join(
+        gone, (F.col("_hash") == F.col("_gone")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("_doc", "_dropped")
 
 
 def kept_text(text: Column, dropped: Column) -> Column:
@@ -121,7 +120,7 @@ def kept_text(text: Column, dropped: Column) -> Column:
 
 def without_repeated_lines(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` without repeated lines; columns stay, ``n_chars`` follows. Documents of which only blanks are left go."""
-    cut = with_dropped_lines(docs, **settings).withColumn("_left", kept_text(F.col("text"), F.col("_dropped")))
+    cut = with_dropped_lines(docs, **settings).withColumn("_left", kept_text(F.col("_doc.text"), F.col("_dropped")))
     left = cut.where(F.col("_dropped").isNull() | (F.length(F.trim("_left")) > 0))
     return left.select(
         F.when(F.col("_dropped").isNull(), F.col("_doc")).otherwise(changed(docs, F.col("_left"))).alias("_doc")).select("_doc.*")
@@ -131,9 +130,9 @@ def op1_line_dedup(spark, sf_dir: str) -> DataFrame:
     """Per document: number of lines, the numbers of those taken out, and the SHA-256 of the text that is left."""
     cut = with_dropped_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return cut.select(
-        "doc_id", F.size(F.split(whole_text(), "\n")).cast("long").alias("n_lines"),
+        "_doc.doc_id", F.size(F.split(whole_text("_doc.text"), "\n")).cast("long").alias("n_lines"),
         F.coalesce(F.array_join(F.transform("_dropped", lambda at: at.cast("string")), ","), F.lit("")).alias("dropped"),
-        F.sha2(kept_text(whole_text(), F.col("_dropped")), 256).alias("text_sha256"))
+        F.sha2(kept_text(whole_text("_doc.text"), F.col("_dropped")), 256).alias("text_sha256"))
 
 
 OP1_SQL = f"""

@@ -138,7 +138,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: f
     sources = settle(source_targets(sized, weights, share, most, block), "sources")
     times = draw_blocks(sources).groupBy("sid", "block").agg(F.count(F.lit(1)).alias("times"))
     taken = (
-        block_parts(sized, sources, block).join(times, ["sid", "block"])
+        block_parts(sized, sources, block).hint("merge").join(times, ["sid", "block"])  # see mixed_documents
         .groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     )
     named = sources.select(F.col("source").alias("_named"), "source_size", "target")
@@ -155,21 +155,27 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     words. ``n_chars`` follows the text. Documents of which nothing is taken are left out.
     """
     block = settings.pop("block", BLOCK)
-    stored = settle(carried(docs, "doc_id", "text", "source").withColumn("row", F.monotonically_increasing_id()), "mixed")
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sized = settle(stored.select("row", "doc_id", "source", size.alias("size")), "sizes")
+    stored = settle(carried(docs).withColumn("row", F.monotonically_increasing_id()), "mixed")
+    size = F.coalesce(F.regexp_count("_doc.text", F.lit(WORD)), F.lit(0)).cast("long")
+    sized = settle(stored.select("row", "_doc.doc_id", "_doc.source", size.alias("size")), "sizes")
     sources = settle(source_targets(sized, block=block, **settings), "sources")
-    parts = block_parts(sized, sources, block).join(draw_blocks(sources).select("sid", "block", "copy"), ["sid", "block"])
+    # The planner takes exploded rows to be as few as those that they come from, and would broadcast them all.
+    drawn = draw_blocks(sources).select("sid", "block", "copy")
+    parts = block_parts(sized, sources, block).hint("merge").join(drawn, ["sid", "block"])
     copies = parts.groupBy("row", "copy").agg(
         F.sum("words").alias("_taken"), F.sort_array(F.collect_list(F.struct("first_word", "words"))).alias("_parts"))
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    cut = F.array_join(F.flatten(F.transform("_parts", lambda p: F.slice(
-        F.col("_words"), (p["first_word"] + 1).cast("int"), p["words"].cast("int")))), " ")
+    words = F.regexp_extract_all("_doc.text", F.lit(WORD), F.lit(0))
+
+    def chosen(every: Column) -> Column:
+        return F.array_join(F.flatten(F.transform("_parts", lambda p: F.slice(
+            every, (p["first_word"] + 1).cast("int"), p["words"].cast("int")))), " ")
+
+    cut = F.transform(F.array(words), chosen)[0]  # the words are found once, not once for each part
     partly = F.col("_taken") < F.col("size")
     return (
-        stored.join(copies.join(sized.select("row", "size"), "row"), "row")
-        .withColumn("_words", F.when(partly, words))
-        .select(F.when(partly, changed(docs, cut)).otherwise(F.col("_doc")).alias("_doc")).select("_doc.*")
+        stored.join(copies.join(sized.select("row", "size"), "row").hint("merge"), "row")
+        .select("_doc", F.when(partly, cut).alias("_cut"))
+        .select(F.when(F.col("_cut").isNull(), F.col("_doc")).otherwise(changed(docs, F.col("_cut"))).alias("_doc")).select("_doc.*")
     )
 
 

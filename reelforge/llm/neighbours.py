@@ -198,7 +198,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, nearest_: int = NEAREST, sea
         F.collect_list("first").alias("firsts"), F.collect_list("vector").alias("ours"))
     visits = probes.groupBy("table", "bucket", F.pmod(F.xxhash64("query"), F.lit(salts[1])).alias("_part")).agg(
         F.collect_list("query").alias("queries"), F.collect_list("vector").alias("theirs"))
-    scored = visits.join(candidates, ["table", "bucket"]).select("queries", "theirs", "firsts", "ours").mapInArrow(
+    # both sides are far larger than the planner can tell from the tables that they come from: never broadcast one
+    scored = visits.hint("merge").join(candidates, ["table", "bucket"]).select("queries", "theirs", "firsts", "ours").mapInArrow(
         _rerank(most), "query long, first long, score double")
 
     best = Window.partitionBy("query").orderBy(F.desc("score"), "first")

@@ -68,7 +68,7 @@ def test_near_lines_match_brute_force(spark, distance):
 
 def test_repeated_lines_of_odd_documents(odd_docs):
     docs = with_clashing_columns(odd_docs)
-    cut = {(r.doc_id, r.text): r["_dropped"] for r in lines.with_dropped_lines(docs).collect()}
+    cut = {(r["_doc"].doc_id, r["_doc"].text): r["_dropped"] for r in lines.with_dropped_lines(docs).collect()}
     assert cut[(4, "same line of text here\nanother line of text here")] is None
     assert cut[(5, "same line of text here\nanother line of text there")] == [0, 1]  # equal, and one letter apart
     assert sum(1 for (i, t), d in cut.items() if i == 9 and d == [0]) == 1  # the long text again
