@@ -1,13 +1,16 @@
 """Licence notices in texts, by Dice coefficient over word bigrams (operator 2). DataFrame functions only."""
 
+from collections import Counter
 from functools import reduce
 from math import ceil, floor
 from operator import or_
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelforge.llm.frames import documents, whole_text
+from reelforge.operators.durable import settle
 
 #: Public notices, a name and its text. A licence has a line for each customary form.
 TEMPLATES = (
@@ -30,20 +33,34 @@ TEMPLATES = (
     ("cc0-1.0", "To the extent possible under law, the author has dedicated all copyright to the public domain under CC0 1.0 Universal."),
     ("proprietary", "All rights reserved. No part of this work may be reproduced without prior written permission."),
 )
+#: Full licence texts without title and copyright line: they and the templates are also looked for across line breaks.
+FULL_TEXTS = tuple((path.stem, path.read_text()) for path in sorted((Path(__file__).parent / "licence_texts").glob("*.txt")))
 LEAST_DICE = 0.85
 
 
-def bigrams(text: Column) -> Column:
-    """Different pairs of neighbouring words of the normalised text: lower case, letters and digits only."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+def words_of(text: Column) -> Column:
+    """The words of the normalised text: lower case, letters and digits only."""
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
+def pairs_of(words: Column) -> Column:
     n = F.size(words)
-    return F.array_distinct(F.when(n > 1, F.zip_with(
+    return F.when(n > 1, F.zip_with(
         F.slice(words, F.lit(1), n - 1), F.slice(words, F.lit(2), n - 1), lambda a, b: F.concat(a, F.lit(" "), b),
-    )).otherwise(F.array().cast("array<string>")))
+    )).otherwise(F.array().cast("array<string>"))
+
+
+def bigrams(text: Column) -> Column:
+    """Different pairs of neighbouring words of the normalised text."""
+    return F.array_distinct(pairs_of(words_of(text)))
+
+
+def _plain_words(text: str) -> list[str]:
+    return "".join(c if c.isalnum() else " " for c in text.lower()).split()
 
 
 def _plain_bigrams(text: str) -> list[str]:
-    words = "".join(c if c.isalnum() else " " for c in text.lower()).split()
+    words = _plain_words(text)
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
 
 
@@ -57,11 +74,85 @@ def telling_words(grams: list[str], least: float) -> list[str]:
     return longest[: floor(len(grams) * (2 - 2 * least) / (2 - least) + 1e-9) + 1]
 
 
+def fewest_telling_words(grams: list[str], least: float) -> list[str]:
+    """As ``telling_words``, but few of them: each next one is the long word that is in most of the bigrams not yet met."""
+    wanted, left, found = floor(len(grams) * (2 - 2 * least) / (2 - least) + 1e-9) + 1, set(grams), []
+    while len(grams) - len(left) < wanted:
+        counts = Counter(word for gram in left for word in set(gram.split()))
+        word = max(counts, key=lambda w: (min(len(w), 7), counts[w], len(w), w))
+        found.append(word)
+        left = {gram for gram in left if word not in gram.split()}
+    return found
+
+
 def _holds_any(text: Column, words: list[str]) -> Column:
     return reduce(or_, [F.contains(text, F.lit(word)) for word in words])
 
 
-def licence_hits(docs: DataFrame, templates: tuple = TEMPLATES, least: float = LEAST_DICE) -> DataFrame:
+def window_hits(texts: DataFrame, notices: tuple, full: tuple, least: float) -> DataFrame:
+    """Windows of the texts' words that reach ``least``: ``doc_id``, ``_text``, and ``window`` with the lines where it begins and ends.
+
+    A window for a template has as many words as the template, or as many as are left, and begins with one of its bigrams;
+    line breaks count as blanks. A window that reaches ``least`` shares at least ``least / (2 - least)`` of the template's bigrams,
+    so windows in which fewer bigrams stand are left out before they are counted as sets. ``texts`` has ``doc_id``, ``text``, ``_text``.
+    """
+    sets = [(name, len(_plain_words(text)), _plain_bigrams(text), at >= len(notices)) for at, (name, text) in enumerate(notices + full)]
+    need = [ceil(least * len(grams) / (2 - least) - 1e-9) for _, _, grams, _ in sets]
+    telling = [fewest_telling_words(grams, least) for _, _, grams, _ in sets]
+    seen = F.array_intersect(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), F.array(*map(F.lit, sorted({word for words in telling for word in words}))))
+    may = F.array_compact(F.array(*[
+        F.when((F.length("text") >= 2 * need[at]) & F.arrays_overlap("_seen", F.array(*map(F.lit, words))), F.lit(at)) for at, words in enumerate(telling)]))
+    lines = F.transform(F.split("text", "\n"), lambda line, i: F.transform(words_of(line), lambda w: F.struct(i.alias("line"), w.alias("word"))))
+    cut = (
+        texts.select("doc_id", "_text", "text", F.xxhash64("doc_id", "_text").alias("_key")).dropDuplicates(["_key"])
+        .withColumn("_seen", F.explode(F.array(seen)))  # exploded, so that each use does not cut the text again
+        .withColumn("_may", may).where(F.size("_may") > 0).withColumn("_words", F.flatten(lines))
+    )
+    cut = settle(cut.select(
+        "_key", "doc_id", "_text", "_may", F.transform("_words", lambda w: w["line"]).alias("_lines"),
+        pairs_of(F.transform("_words", lambda w: w["word"])).alias("_grams")), "windows")
+
+    spark = texts.sparkSession
+    of = {}
+    for at, (_, _, grams, _) in enumerate(sets):
+        for gram in grams:
+            of.setdefault(gram, []).append(str(at))
+    known = spark.range(1).select(F.explode(F.split(F.lit("\n".join(f"{gram}\t{','.join(ats)}" for gram, ats in sorted(of.items()))), "\n")).alias("_row"))
+    known = known.select(
+        F.split("_row", "\t")[0].alias("_gram"), F.split(F.split("_row", "\t")[1], ",").cast("array<int>").alias("_ats"))
+    facts = F.array(*[
+        F.struct(F.lit(name).alias("licence"), F.lit(words).alias("words"), F.lit(len(grams)).alias("size"), F.lit(need[at]).alias("need"), F.lit(whole).alias("whole"))
+        for at, (name, words, grams, whole) in enumerate(sets)])
+    met = (
+        cut.select("_key", "_may", F.posexplode("_grams").alias("_pos", "_gram")).join(F.broadcast(known), "_gram")
+        .select("_key", "_pos", "_gram", F.explode(F.array_intersect("_may", "_ats")).alias("_at"))
+        .groupBy("_key", "_at").agg(F.sort_array(F.collect_list(F.struct(F.col("_pos").alias("pos"), F.xxhash64("_gram").alias("gram")))).alias("_met"))
+        .withColumn("_of", facts[F.col("_at")]).where(F.size("_met") >= F.col("_of.need"))
+    )
+    begins = F.filter(
+        F.sequence(F.lit(0), F.size("_met") - F.col("_of.need")),
+        lambda j: F.get("_met", j + F.col("_of.need") - 1)["pos"] <= F.get("_met", j)["pos"] + F.col("_of.words") - 2)
+    begun = met.select("_key", "_of", "_met", F.explode(begins).alias("_j")).withColumn("_from", F.get("_met", F.col("_j"))["pos"])
+    inside = F.filter(F.slice("_met", F.col("_j") + 1, F.col("_of.words") - 1), lambda x: x["pos"] <= F.col("_from") + F.col("_of.words") - 2)
+    begun = begun.withColumn("_shared", F.size(F.array_distinct(F.transform(inside, lambda x: x["gram"])))).where(F.col("_shared") >= F.col("_of.need"))
+    both = begun.select("_key", "_of", "_from", "_shared").join(cut, "_key")
+    size = F.size(F.array_distinct(F.slice("_grams", F.col("_from") + 1, F.col("_of.words") - 1)))
+    dice = F.lit(2.0) * F.col("_shared") / (size + F.col("_of.size"))
+    last = F.least(F.col("_from") + F.col("_of.words"), F.size("_lines")) - 1
+    return both.withColumn("_dice", dice).where(F.col("_dice") >= least).select("doc_id", "_text", F.struct(
+        (-F.col("_shared")).alias("loss"), (-F.col("_dice")).alias("far"), F.col("_of.licence").alias("licence"), F.col("_from").alias("first"),
+        last.alias("last"), F.get("_lines", F.col("_from")).alias("line"), F.get("_lines", last).alias("until"), F.col("_of.whole").alias("whole")).alias("window"))
+
+
+def windows_beside(units: Column, windows: Column) -> Column:
+    """Windows that do not overlap, those with most shared bigrams first; one of a notice is left out where a unit with a hit meets it."""
+    free = F.filter(F.sort_array(windows), lambda w: w["whole"] | ~F.exists(
+        units, lambda u: (u["unit"] == -1) | u["unit"].between(w["line"], w["until"])))
+    return F.aggregate(free, F.slice(free, 1, 0), lambda kept, w: F.when(
+        F.exists(kept, lambda k: (k["first"] <= w["last"]) & (w["first"] <= k["last"])), kept).otherwise(F.concat(kept, F.array(w))))
+
+
+def licence_hits(docs: DataFrame, templates: tuple = TEMPLATES, least: float = LEAST_DICE, full: tuple = FULL_TEXTS) -> DataFrame:
     """One row per document with notices: ``doc_id``, ``_text`` (hash of the text), ``hits`` of ``(unit, licence, dice)``.
 
     Units are the lines of the text from 0, and the whole text as unit -1 where it has several lines. A unit's licence is the
@@ -69,6 +160,10 @@ def licence_hits(docs: DataFrame, templates: tuple = TEMPLATES, least: float = L
     only with units whose number of bigrams can reach it: Dice is at most 2 min / (a + b). Texts and units that hold none of
     the templates' telling words are left out before they are cut into bigrams; none of them can reach ``least``. Null and empty texts, and
     units of one word, have no hits. Rows that repeat ``doc_id`` and text count as one.
+
+    Notices that are wrapped or stand within a longer line, and the ``full`` licence texts, are found as windows of words
+    (``window_hits``). A window's unit is the line where it begins. Windows do not overlap, and a notice that a line or
+    the whole text has already shown is not counted again; a full text counts beside the notices among its lines.
     """
     texts = docs.select("doc_id", whole_text().alias("text")).withColumn("_text", F.xxhash64("text"))
     lines = F.split("text", "\n")
@@ -96,10 +191,13 @@ def licence_hits(docs: DataFrame, templates: tuple = TEMPLATES, least: float = L
 
     scored = cut.withColumn("_best", F.array_min(F.array_compact(F.array(*[dice(at) for at in range(len(sets))]))))
     hit = F.struct("unit", F.col("_best.licence").alias("licence"), (-F.col("_best.loss")).alias("dice"))
-    return (
-        scored.where(-F.col("_best.loss") >= least).groupBy("doc_id", "_text")
-        .agg(F.sort_array(F.collect_set(hit)).alias("hits"))
-    )
+    windows = window_hits(texts, templates, full, least)
+    lone = scored.where(-F.col("_best.loss") >= least).select("doc_id", "_text", hit.alias("hit"), F.lit(None).cast(windows.schema["window"].dataType).alias("window"))
+    both = lone.unionByName(windows.withColumn("hit", F.lit(None).cast(lone.schema["hit"].dataType)))
+    found = both.groupBy("doc_id", "_text").agg(F.collect_set("hit").alias("_units"), F.collect_set("window").alias("_windows"))
+    beside = F.transform(windows_beside(F.col("_units"), F.col("_windows")), lambda w: F.struct(
+        w["line"].alias("unit"), w["licence"].alias("licence"), (-w["far"]).alias("dice")))
+    return found.select("doc_id", "_text", F.sort_array(F.concat("_units", beside)).alias("hits"))
 
 
 def op2_license_scan(spark, sf_dir: str) -> DataFrame:

@@ -87,6 +87,47 @@ def test_licences_match_brute_force(corpus):
     assert found == expected
 
 
+def windows_by_brute_force(text):
+    words = licenses._plain_words(text)
+    found = set()
+    for name, template in licenses.TEMPLATES + licenses.FULL_TEXTS:
+        theirs, n = set(licenses._plain_bigrams(template)), len(licenses._plain_words(template))
+        for at in range(len(words) - 1):
+            part = words[at : at + n]
+            if f"{part[0]} {part[1]}" in theirs and dice({f"{a} {b}" for a, b in zip(part, part[1:])}, theirs) >= licenses.LEAST_DICE:
+                found.add(name)
+    return found
+
+
+def test_wrapped_embedded_and_full_licences(spark):
+    full = dict(licenses.FULL_TEXTS)
+    prose = "Some words that belong to no licence stand here, and more of them follow.\n" * 3
+    notice = next(text for name, text in licenses.TEMPLATES if name == "mpl-2.0")
+    wrapped = "\n".join(" ".join(notice.split()[i : i + 6]) for i in range(0, len(notice.split()), 6))
+    texts = {
+        "mit": "The MIT License\n\nCopyright (c) 2024 Jane Doe\n\n" + full["mit"], "isc": "Copyright 2024 Jane Doe\n\n" + full["isc"],
+        "bsd-2-clause": prose + full["bsd-2-clause"], "bsd-3-clause": full["bsd-3-clause"] + prose, "apache-2.0": prose + full["apache-2.0"] + prose,
+        "mpl-2.0": prose + wrapped + "\n" + prose, "gpl-2.0": full["gpl-2.0"].replace("\n", " ").replace("Copyright", "(C)"),
+    }
+    rows = list(enumerate(texts.values())) + [(90, "Copyright 2024 Jane Doe. Released under the MIT License. See the authors file."), (91, prose), (None, texts["isc"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.hits for r in licenses.licence_hits(docs).collect()}
+    assert set(found) == {*range(len(texts)), 90, None}
+    for at, (name, text) in enumerate(texts.items()):
+        assert min(found[at], key=lambda h: -h.dice).licence == name, (name, found[at])
+        if len(text) < 5000:
+            assert {h.licence for h in found[at]} <= windows_by_brute_force(text)
+    assert [(h.unit, h.licence, h.dice) for h in found[90]] == [(0, "mit", 1.0)]
+    assert [(h.unit, h.licence) for h in found[5]] == [(3, "mpl-2.0")] and len(found[1]) == len(found[None]) == 1
+
+
+def test_windows_add_what_brute_force_finds(corpus):
+    """No notice of the corpus stands outside a line of its own, and none is counted twice."""
+    found = {r.doc_id: {h.licence for h in r.hits} for r in licenses.licence_hits(corpus).collect()}
+    for row in corpus.select("doc_id", "text").collect():
+        assert windows_by_brute_force(row.text) >= found.get(row.doc_id, set()), row.doc_id
+
+
 def nearest_by_brute_force(ids, vectors, query, k):
     at = ids.index(query)
     scores = sorted((-float(np.dot(np.float64(v), np.float64(vectors[at]))), i) for i, v in zip(ids, vectors) if i != query)
