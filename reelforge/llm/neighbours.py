@@ -27,6 +27,13 @@ NEAREST = 20
 QUERIES_AT_ONCE = 4_096
 ROWS_AT_ONCE = 16_384
 HELD = 1_000_000
+#: Lengths of one range differ by at most this factor, but for the last range, which has all that are shorter still.
+RANGE = 1.3
+RANGES = 40
+#: Ranges of fewer rows than this, or than this share of all rows, are compared whole.
+LEAST_HASHED = 256
+LEAST_SHARE = 1 / 256
+PIECES = 8
 
 
 def probe_sets(projections: int, probes: int) -> list[tuple[int, ...]]:
@@ -69,7 +76,7 @@ def _matrix(column) -> np.ndarray:
     return np.asarray(array.flatten(), np.float64).reshape(len(array), -1)
 
 
-def _lifted(vectors: np.ndarray, longest: float | None) -> np.ndarray:
+def _lifted(vectors: np.ndarray, longest: np.ndarray | None) -> np.ndarray:
     """On the unit sphere of one more dimension, where the nearest point is the one with the largest inner product."""
     if longest is None:
         unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
@@ -78,20 +85,22 @@ def _lifted(vectors: np.ndarray, longest: float | None) -> np.ndarray:
     return np.hstack([short, np.sqrt(np.maximum(0, 1 - (short**2).sum(axis=1, keepdims=True)))])
 
 
-def _index(search: Search, longest: float):
+def _index(search: Search, longest: dict[int, float]):
+    """Each range of lengths is lifted by its own longest vector and has tables of its own."""
     def rows(batches):
         for batch in batches:
-            lifted = _lifted(_matrix(batch.column("vector")), longest)
+            ranges = np.asarray(batch.column("range"), np.int64)
+            lifted = _lifted(_matrix(batch.column("vector")), np.array([[longest[r]] for r in ranges.tolist()]).reshape(-1, 1))
             for table in range(search.tables):
                 planes, shift = _planes(search, table, lifted.shape[1] - 1)
                 cells = np.floor((lifted @ planes + shift) / search.width)
                 yield pa.RecordBatch.from_pydict({
-                    "table": pa.array(np.full(len(lifted), table), pa.int32()), "bucket": pa.array(_bucket(cells)),
+                    "table": pa.array(ranges * search.tables + table, pa.int32()), "bucket": pa.array(_bucket(cells)),
                     "first": batch.column("first"), "vector": batch.column("vector")})
     return rows
 
 
-def _probes(search: Search):
+def _probes(search: Search, ranges: list[int]):
     sets = probe_sets(search.projections, search.probes)
 
     def rows(batches):
@@ -109,9 +118,11 @@ def _probes(search: Search):
                     for r in ranks:
                         wall = ranked[:, r]
                         moved[np.arange(len(moved)), wall % m] += np.where(wall < m, -1, 1)
-                    yield pa.RecordBatch.from_pydict({
-                        "table": pa.array(np.full(len(lifted), table), pa.int32()), "bucket": pa.array(_bucket(moved)),
-                        "query": batch.column("first"), "vector": batch.column("vector")})
+                    bucket = pa.array(_bucket(moved))
+                    for at in ranges:
+                        yield pa.RecordBatch.from_pydict({
+                            "table": pa.array(np.full(len(lifted), at * search.tables + table), pa.int32()), "bucket": bucket,
+                            "query": batch.column("first"), "vector": batch.column("vector")})
     return rows
 
 
@@ -165,8 +176,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, nearest_: int = NEAREST, sea
     Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows with null ids or of another length
     than most. Of rows that repeat a ``vec_id`` the smallest vector counts. Equal vectors are one candidate that stands
     for its ``nearest_ + 1`` smallest ids, which are all that ties can name; so a vector may have any number of
-    copies. Every vector is indexed in each table; candidates of all probed buckets are scored exactly, whole buckets in
-    blocks. An empty table gives no rows.
+    copies. Vectors are cut into ranges of length, each hashed by its own longest vector; a query probes all ranges, and ranges
+    of few rows are compared whole. Every vector is indexed in each table of its range; candidates of all probed buckets are scored
+    exactly, whole buckets in blocks. A query that finds too few is compared with all vectors. An empty table gives no rows.
     """
     spark = vectors.sparkSession
     usable = (
@@ -183,30 +195,56 @@ def nearest(vectors: DataFrame, queries: DataFrame, nearest_: int = NEAREST, sea
         usable.withColumn("_at", F.row_number().over(smallest)).where(F.col("_at") <= most)
         .groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("members"))
         .withColumn("first", F.col("members")[0]), "vectors")
-    longest, rows = distinct.agg(
-        F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))), F.count(F.lit(1))).first()
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    norms = distinct.withColumn("norm", norm)
+    longest, rows = norms.agg(F.max("norm"), F.count(F.lit(1))).first()
+    number = F.least(F.greatest(F.floor(F.log(F.lit(longest) / F.col("norm")) / F.log(F.lit(RANGE))), F.lit(0)), F.lit(RANGES - 1)).cast("int")
+    norms = norms.withColumn("range", number)
+    each = norms.groupBy("range").agg(F.max("norm").alias("longest"), F.count(F.lit(1)).alias("n")).collect()
+    hashed = {r["range"]: r["longest"] for r in each if r["n"] >= max(LEAST_HASHED, rows * LEAST_SHARE)}
+    whole = [r["range"] for r in each if r["range"] not in hashed]
     asked = settle(
         usable.join(queries.select("vec_id").distinct(), "vec_id", "left_semi")
         .join(distinct.select("vector", "first"), "vector").select("vec_id", "first", "vector"), "queries")
     asked_once = asked.groupBy("first").agg(F.first("vector").alias("vector"))
 
     kind = vectors.schema["embedding"].dataType.simpleString()
-    index = distinct.select("first", "vector").mapInArrow(_index(search, longest), f"table int, bucket long, first long, vector {kind}")
-    probes = asked_once.mapInArrow(_probes(search), f"table int, bucket long, query long, vector {kind}")
+    inside = F.col("range").isin(sorted(hashed))
+    index = norms.where(inside).select("first", "vector", "range").mapInArrow(
+        _index(search, hashed), f"table int, bucket long, first long, vector {kind}")
+    probes = asked_once.mapInArrow(_probes(search, sorted(hashed)), f"table int, bucket long, query long, vector {kind}")
+    pieces = max(PIECES, rows // ROWS_AT_ONCE)
+
+    def pieces_of(some: DataFrame) -> DataFrame:
+        return some.select(F.lit(-1).alias("table"), F.pmod(F.xxhash64(F.lit(1), "first"), F.lit(pieces)).cast("long").alias("bucket"), "first", "vector")
+
+    def all_pieces(some: DataFrame) -> DataFrame:
+        return some.select(F.lit(-1).alias("table"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(pieces - 1).cast("long"))).alias("bucket"), F.col("first").alias("query"), "vector")
+
     salts = [max(1, n // at_once) for n, at_once in ((rows, ROWS_AT_ONCE), (asked.count(), QUERIES_AT_ONCE))]
-    candidates = index.groupBy("table", "bucket", F.pmod(F.xxhash64("first"), F.lit(salts[0])).alias("_block")).agg(
-        F.collect_list("first").alias("firsts"), F.collect_list("vector").alias("ours"))
-    visits = probes.groupBy("table", "bucket", F.pmod(F.xxhash64("query"), F.lit(salts[1])).alias("_part")).agg(
-        F.collect_list("query").alias("queries"), F.collect_list("vector").alias("theirs"))
-    # both sides are far larger than the planner can tell from the tables that they come from: never broadcast one
-    scored = visits.hint("merge").join(candidates, ["table", "bucket"]).select("queries", "theirs", "firsts", "ours").mapInArrow(
-        _rerank(most), "query long, first long, score double")
 
+    def scores(index: DataFrame, probes: DataFrame) -> DataFrame:
+        candidates = index.groupBy("table", "bucket", F.pmod(F.xxhash64("first"), F.lit(salts[0])).alias("_block")).agg(
+            F.collect_list("first").alias("firsts"), F.collect_list("vector").alias("ours"))
+        visits = probes.groupBy("table", "bucket", F.pmod(F.xxhash64("query"), F.lit(salts[1])).alias("_part")).agg(
+            F.collect_list("query").alias("queries"), F.collect_list("vector").alias("theirs"))
+        # both sides are far larger than the planner can tell from the tables that they come from: never broadcast one
+        return visits.hint("merge").join(candidates, ["table", "bucket"]).select("queries", "theirs", "firsts", "ours").mapInArrow(
+            _rerank(most), "query long, first long, score double")
+
+    if whole:
+        index, probes = index.unionByName(pieces_of(norms.where(~inside))), probes.unionByName(all_pieces(asked_once))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "first")
-    top = (
-        scored.groupBy("query", "first").agg(F.max("score").alias("score"))
-        .withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= most)
-    )
+    top = settle(
+        scores(index, probes).groupBy("query", "first").agg(F.max("score").alias("score"))
+        .withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= most), "top")
+    served = top.where(F.col("_rank") == min(most, rows)).select("query")
+    poor = settle(asked_once.join(served, F.col("first") == F.col("query"), "left_anti"), "poor")
+    if not poor.isEmpty():
+        again = (
+            scores(pieces_of(distinct), all_pieces(poor)).groupBy("query", "first").agg(F.max("score").alias("score"))
+            .withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= most))
+        top = top.join(served, "query", "left_semi").unionByName(again)
     lists = (
         top.join(distinct.select("first", "members"), "first").groupBy("query")
         .agg(F.flatten(F.collect_list(F.transform("members", lambda m: F.struct((-F.col("score")).alias("loss"), m.alias("vec_id"))))).alias("_all"))

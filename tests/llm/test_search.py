@@ -172,3 +172,26 @@ def test_neighbours_with_copies_and_unusable_vectors(spark, monkeypatch):
     for query in found:
         assert found[query] == nearest_by_brute_force(ids, vectors, query, 7), query
     assert neighbours.nearest(table.where("vec_id < 0"), table).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["half", "one", "single"])
+def test_neighbours_of_uneven_lengths(spark, kind):
+    random = np.random.default_rng(5)
+    vectors = random.normal(size=(4000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    if kind == "single":
+        vectors[17] *= 20
+    else:
+        vectors *= np.exp(random.normal(size=(4000, 1)) * (0.5 if kind == "half" else 1.0))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = {}
+    for row in neighbours.nearest(table, table.where("vec_id % 40 = 0")).collect():
+        found.setdefault(row.query_id, set()).add(row.vec_id)
+    hits = 0
+    for query in range(0, 4000, 40):
+        score = vectors @ vectors[query]
+        score[query] = -np.inf
+        hits += len(found[query] & set(np.argsort(-score)[:20].tolist()))
+        assert len(found[query]) == 20
+    print(kind, hits / 2000)
+    assert hits / 2000 >= 0.9
