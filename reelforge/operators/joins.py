@@ -90,6 +90,28 @@ def attach_counts(facts: DataFrame, counts: DataFrame, key: str, size: str, how:
     return joined.unionByName(nulls)
 
 
+def spread_join(facts: DataFrame, table: DataFrame, keys: list[str], how: str = "left", hot_rows: int = HOT_ROWS,
+                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Join facts to a table of one row per key, balanced under keys of any number of facts.
+
+    A small table is broadcast. Otherwise a key of over ``hot_rows`` facts is cut into as many salts as its count asks for,
+    so that no task gets many more than ``hot_rows`` of its facts; its row of the table is repeated once per salt. Which
+    salt a fact has follows from a hash of its columns: facts should be different rows. ``how`` is ``left`` or
+    ``inner``; facts with a null among their keys meet nothing.
+    """
+    table = settle(table)
+    small = broadcast_if_small(table, broadcast_rows)
+    if small is not table:
+        return facts.join(small, keys, how)
+    counts = facts.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    hot = broadcast_if_small(settle(counts.select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))), broadcast_rows)
+    salt = F.when(F.col("_salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*facts.columns), F.col("_salts"))).cast("int")
+    marked = facts.join(hot, keys, "left").withColumn("_salt", salt).drop("_salts")
+    every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    spread = table.join(hot, keys, "left").withColumn("_salt", F.explode(every)).drop("_salts")
+    return marked.join(spread, [*keys, "_salt"], how).drop("_salt")
+
+
 def merge_map(known: DataFrame, found: DataFrame, key: str, value: str) -> DataFrame:
     """Map tables merged: entries already known win, new keys are added."""
     added = not_yet_done(found.select(key, value), known, key)
