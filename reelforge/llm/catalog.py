@@ -1,6 +1,6 @@
 """Queries of this folder, by name: how to build each, and the SQL of its result where SQL can say it."""
 
-from reelforge.llm import exact, language, licenses, lines, mixing, neighbours, packing, secrets, similar, token_files
+from reelforge.llm import exact, language, licenses, lines, mixing, neighbours, packing, phrases, secrets, similar, token_files
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
@@ -13,5 +13,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": similar.op8_ngram_jaccard_join,
     "op9_token_files": token_files.op9_token_files,
     "op10_nearest_neighbours": neighbours.op10_nearest_neighbours,
+    "op11_phrase_collocations": phrases.op11_phrase_collocations,
 }
-SQL = {"op1_line_dedup": lines.OP1_SQL, "op2_license_scan": licenses.OP2_SQL, "op3_secret_scan": secrets.OP3_SQL, "op6_exact_dedup": exact.OP6_SQL}
+SQL = {"op1_line_dedup": lines.OP1_SQL, "op2_license_scan": licenses.OP2_SQL, "op3_secret_scan": secrets.OP3_SQL, "op6_exact_dedup": exact.OP6_SQL,
+       "op11_phrase_collocations": phrases.OP11_SQL}
