@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 from reelforge.llm.bitmaps import bitmap_of, may_hold
 from reelforge.llm.frames import carried, changed, documents, whole_text
 from reelforge.operators.durable import settle
+from reelforge.operators.joins import spread_join
 
 DISTANCE = 1
 LEAST_CHARS = 12
+HOT_LINES = 200
+FINE_CHARS = 1024
+COARSE_PARTS = 64
 
 
 def _segment(length: Column, number: int, distance: int) -> tuple[Column, Column]:
@@ -56,25 +60,68 @@ def compared_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame
     return lines.where(F.col("size") >= least_chars).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), F.col("line"))})
 
 
-def near_lines(lines: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Pairs of different lines within ``distance`` edits: hash and first place of both (``h1 h2 first``, ``g1 g2 other``).
+def remainder_keys(line: Column, length: Column) -> Column:
+    """Array of ``(key, probe)`` under which lines one edit apart meet: the line without one of its parts.
 
-    Equal lines are one from the start. A bitmap of the keys that different lines share keeps all other lines at home, so
-    that only lines with a possible partner are shuffled with their text; the distance is part of the join's condition, and no
-    pair is made that is not a link.
+    Parts are single characters, or ``COARSE_PARTS`` even segments of a line of over ``FINE_CHARS`` characters. One changed
+    character lies in one part, and the rest of the two lines is equal; a character more lies in a part of the shorter line that
+    is one longer in the other, which looks that up (``probe``). A key hashes length, part and rest, so
+    lines that share one differ within a part, whatever else they have in common with others.
     """
-    keyed = lines.withColumn("_k", F.explode(segment_keys(F.col("line"), F.col("size"), distance))).where("_k IS NOT NULL").select("place", "line", "h1", "_k.*")
+    def without(size: Column, more: int) -> Column:
+        parts = F.when(size <= FINE_CHARS, size).otherwise(COARSE_PARTS).cast("int")
+
+        def rest(number: Column) -> Column:
+            base, longer = F.floor(size / parts), size % parts
+            start = (number * base + F.greatest(F.lit(0), number - (parts - longer))).cast("int")
+            end = start + (base + F.when(number >= parts - longer, 1).otherwise(0)).cast("int") + more
+            return F.xxhash64(size, number, F.substring(line, F.lit(1), start), F.substring(line, end + 1, length))
+
+        return F.transform(F.sequence(F.lit(0), parts - 1), lambda number: F.struct(rest(number).alias("key"), F.lit(bool(more)).alias("probe")))
+
+    return F.when(length > 1, F.concat(without(length, 0), without(length - 1, 1))).otherwise(without(length, 0))
+
+
+def _linked(left: DataFrame, right: DataFrame, once: Column, distance: int) -> DataFrame:
+    """Pairs of different lines that share a key and are near; the distance is part of the join's condition, so no other pair becomes a row."""
+    close = F.levenshtein("line", "theirs", distance) >= 0
+    return left.join(right, (left["key"] == right["key"]) & once & (F.col("line") != F.col("theirs")) & close).select("line", "first", "theirs", "other")
+
+
+def _meeting(keyed: DataFrame) -> DataFrame:
+    """The rows whose key an indexed and a different line share (and few others): ``key``, ``probe``, ``line``, its ``first`` place."""
     shared = (
         keyed.groupBy("key").agg(F.min("h1").alias("least"), F.max("h1").alias("most"), F.min("probe").alias("probe"))
         .where("NOT probe AND least <> most").select("key")
     )
-    met = settle(may_hold(keyed, bitmap_of(shared, "key"), F.col("key")).groupBy("key", "probe", "line").agg(F.min("place").alias("first")), "lines")
-    indexed = met.where("NOT probe").select("key", "line", "first")
-    others = met.select("key", "probe", F.col("line").alias("theirs"), F.col("first").alias("other"))
-    close = F.levenshtein("line", "theirs", distance)
+    return settle(may_hold(keyed, bitmap_of(shared, "key"), F.col("key")).groupBy("key", "probe", "line").agg(F.min("place").alias("first")), "lines")
+
+
+def near_lines(lines: DataFrame, distance: int = DISTANCE, hot_lines: int = HOT_LINES) -> DataFrame:
+    """Pairs of different lines within ``distance`` edits: hash and first place of both (``h1 h2 first``, ``g1 g2 other``).
+
+    Equal lines are one from the start. A bitmap of the keys that different lines share keeps all other lines at home, so
+    that only lines with a possible partner are shuffled with their text. With a distance of 1, a key of over ``hot_lines``
+    different lines (a common opening, say) is not gone through in pairs: its lines meet again by what is left of them without
+    one part, which no more lines share than differ in that part alone. Greater distances go through the pairs of all keys.
+    """
+    keyed = lines.withColumn("_k", F.explode(segment_keys(F.col("line"), F.col("size"), distance))).where("_k IS NOT NULL").select("place", "line", "h1", "_k.*")
+    met = _meeting(keyed)
     once = F.col("probe") | (F.col("line") < F.col("theirs"))
-    pairs = indexed.join(others, (indexed["key"] == others["key"]) & once & (F.col("line") != F.col("theirs")) & (close >= 0))
-    return pairs.select(
+
+    def links_of(rows: DataFrame) -> DataFrame:
+        others = rows.select("key", "probe", F.col("line").alias("theirs"), F.col("first").alias("other"))
+        return _linked(rows.where("NOT probe").select("key", "line", "first"), others, once, distance)
+
+    hot = settle(met.groupBy("key").agg(F.countDistinct("line").alias("_lines")).where(F.col("_lines") > hot_lines), "hot-keys")
+    if distance != 1 or hot.isEmpty():
+        links = links_of(met)
+    else:
+        marked = spread_join(met, hot, ["key"], "left")
+        crowd = settle(marked.where("_lines IS NOT NULL").groupBy("line").agg(F.min("first").alias("place")), "crowd")
+        again = crowd.select("place", "line", F.xxhash64("line").alias("h1"), F.explode(remainder_keys(F.col("line"), F.length("line"))).alias("_k"))
+        links = links_of(marked.where("_lines IS NULL").drop("_lines")).union(links_of(_meeting(again.select("place", "line", "h1", "_k.*"))))
+    return links.select(
         F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.col("line")).alias("h2"), "first",
         F.xxhash64("theirs").alias("g1"), F.xxhash64(F.lit(1), F.col("theirs")).alias("g2"), "other").distinct()
 
@@ -85,7 +132,7 @@ def repeated_lines(docs: DataFrame, distance: int = DISTANCE, least_chars: int =
     Lines come in order of document id (null first), hash of the text, and number. A line goes if an equal line
     comes before it, or if its first equal has a line within ``distance`` edits before it. Lines of fewer than ``least_chars`` characters (outer blanks
     aside) are too short to tell and stay. Null and empty texts have none; rows that repeat id and text
-    count as one document.
+    count as one document; lines of any length are compared whole; other columns are not read. An empty table gives no rows.
     """
     lines = compared_lines(docs, least_chars)
     links = near_lines(lines, distance)

@@ -66,6 +66,42 @@ def test_near_lines_match_brute_force(spark, distance):
     assert {p for p in found if all(usable(names[i]) for i in p)} == expected
 
 
+@pytest.mark.parametrize("fine", [1024, 8])
+def test_hot_segments_match_brute_force(spark, monkeypatch, fine):
+    """Lines that share a half, near or not, with their keys counted as hot."""
+    monkeypatch.setattr(lines, "FINE_CHARS", fine)
+    monkeypatch.setattr(lines, "COARSE_PARTS", 3)
+    opening = "a shared opening, "
+    texts = {f"{opening}{i:04d}" for i in range(0, 300, 7)} | {f"{opening}{i:03d}" for i in range(0, 90, 4)} | {f"{i:04d}{opening}" for i in range(40)}
+    texts |= {f"{opening}{'xyz' * i}" for i in range(5)} | {"ab", "b", "c", "bc", opening, opening.strip(), "é" + opening, opening + "é"}
+    names = sorted(texts)
+    docs = spark.createDataFrame(list(enumerate(names)), "doc_id long, text string")
+    compared = lines.compared_lines(docs, least_chars=1)
+    found = {frozenset((r["first"].doc_id, r["other"].doc_id)) for r in lines.near_lines(compared, 1, hot_lines=3).collect()}
+    stripped = [name.strip(" ") for name in names]
+    expected = {frozenset((i, j)) for i, a in enumerate(stripped) for j, b in enumerate(stripped)
+                if i < j and a != b and len(a) > 1 and len(b) > 1 and edit_distance(a, b) <= 1}
+    first = {}
+    for i, name in enumerate(stripped):
+        first.setdefault(name, i)
+    expected = {frozenset(first[stripped[i]] for i in pair) for pair in expected}
+    assert {p for p in found if all(len(stripped[i]) > 1 for i in p)} == expected
+
+
+def test_a_crowd_of_lines_that_share_a_half(spark):
+    """All pairs of 8,000 lines would take minutes."""
+    rows = spark.range(8_000).select("id", F.format_string("A long shared opening of a line of text, then %06d", F.col("id") * 37).alias("text"))
+    found = lines.repeated_lines(rows.withColumnRenamed("id", "doc_id"))
+    expected, held = set(), set()
+    for i in range(8_000):
+        number = f"{i * 37:06d}"
+        near = {number[:k] + d + number[k + 1 :] for k in range(len(number)) for d in "0123456789"} | {number[:k] + number[k + 1 :] for k in range(len(number))}
+        if near & held:
+            expected.add(i)
+        held.add(number)
+    assert {r.doc_id for r in found.collect()} == expected
+
+
 def test_repeated_lines_of_odd_documents(odd_docs):
     docs = with_clashing_columns(odd_docs)
     cut = {(r["_doc"].doc_id, r["_doc"].text): r["_dropped"] for r in lines.with_dropped_lines(docs).collect()}
