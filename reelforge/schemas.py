@@ -48,3 +48,8 @@ CREDIT_LINES = T.StructType([
     T.StructField(name, T.StringType())
     for name in ("movie", "tconst", "director", "director_id", "writer", "writer_id")
 ])
+
+LANDED = T.StructType([T.StructField("id", T.StringType()), T.StructField("payload", T.StringType())])
+
+REJECT_EVENTS = T.StructType([
+    T.StructField("id", T.StringType()), T.StructField("reason", T.StringType()), T.StructField("at", T.TimestampType())])

@@ -2,11 +2,12 @@
 
 from math import ceil
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelforge.operators.durable import settle
 from reelforge.operators.hygiene import new_rejects
+from reelforge.sinks.parts import Parts
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -62,18 +63,27 @@ def log_rejects(rejects: DataFrame, path: str, logged: DataFrame | None = None)
 BATCHES_PER_FOLDER = 1_000
 
 
-def write_batches(df: DataFrame, path: str, mode: str = "overwrite", per_folder: int = BATCHES_PER_FOLDER) -> None:
-    """Write per-batch output; batches present in ``df`` replace their old rows, others stay.
+def write_batches(df: DataFrame, path: str, per_folder: int = BATCHES_PER_FOLDER) -> None:
+    """Write per-batch output; batches present in ``df`` replace their old rows, others stay. ``read_batches`` reads it.
 
-    A folder ``batch_range`` holds ``per_folder`` neighbouring batches, written by one task, so that their number stays small. Rows of
-    other batches in a folder that is touched are carried over.
+    A part ``batch_range`` holds ``per_folder`` neighbouring batches, written by one task, so that their number stays small. Rows of
+    other batches in a part that is touched are carried over into its new folder. All parts come into force at once; a job
+    that fails leaves the old rows, and one that meets another writer's work raises ``Conflict``.
     """
-    new = df.withColumn("batch_range", F.floor(F.col("batch_id") / per_folder))
-    spark = df.sparkSession
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if mode == "overwrite" and where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
-        old = spark.read.schema(new.schema).parquet(path)
-        touched = new.select("batch_range").distinct()
-        kept = old.join(touched, "batch_range", "left_semi").join(new.select("batch_id").distinct(), "batch_id", "left_anti")
-        new = settle(new.unionByName(kept))
-    new.repartition("batch_range").write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("batch_range").parquet(path)
+    table = Parts(df.sparkSession, path)
+    number, parts = table.state()
+    new = settle(df.withColumn("batch_range", F.floor(F.col("batch_id") / per_folder)))
+    touched = [row[0] for row in new.select("batch_range").distinct().collect()]  # one row for each range
+    old = table.read(df.schema, only={str(name) for name in touched})
+    if old is not None:
+        kept = old.join(new.select("batch_id").distinct(), "batch_id", "left_anti")
+        new = new.unionByName(kept.withColumn("batch_range", F.floor(F.col("batch_id") / per_folder)))
+    folder = table.new_folder()
+    new.repartition("batch_range").write.partitionBy("batch_range").parquet(f"{path}/{folder}")
+    named = {str(name): f"{folder}/batch_range={'__HIVE_DEFAULT_PARTITION__' if name is None else name}" for name in touched}
+    table.commit(number, {**parts, **named})
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of all batches in force, or None if none were written."""
+    return Parts(spark, path).read()

@@ -2,10 +2,12 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from reelforge.operators import documents
 from reelforge.sinks import files as sinks
+from reelforge.sinks.parts import Conflict, Parts
 from reelforge.sources import files as sources
 
 
@@ -140,7 +142,38 @@ def test_batches_are_replaced_one_by_one(spark, tmp_path):
     path = str(tmp_path / "batches")
     sinks.write_batches(spark.createDataFrame([(1, 1.0), (2, 2.0)], "batch_id int, v double"), path)
     sinks.write_batches(spark.createDataFrame([(2, 9.0)], "batch_id int, v double"), path)
-    assert rows_of(spark.read.parquet(path).select("batch_id", "v"), "batch_id") == [(1, 1.0), (2, 9.0)]
+    assert rows_of(sinks.read_batches(spark, path).select("batch_id", "v"), "batch_id") == [(1, 1.0), (2, 9.0)]
+    sinks.write_batches(spark.createDataFrame([(2500, 3.0), (None, 4.0)], "batch_id int, v double"), path)
+    assert len(sinks.read_batches(spark, path).collect()) == 4
+    assert len(Parts(spark, path).tidy()) == 1 and len(sinks.read_batches(spark, path).collect()) == 4
+
+
+def test_a_failed_write_leaves_the_old_batches(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "batches")
+    assert sinks.read_batches(spark, path) is None
+    sinks.write_batches(spark.createDataFrame([(1, 1.0), (2, 2.0)], "batch_id int, v double"), path)
+    broken = spark.createDataFrame([(1, 5.0), (2, 0.0)], "batch_id int, v double")
+    broken = broken.withColumn("v", F.when(F.col("v") == 0, F.raise_error(F.lit("midway"))).otherwise(F.col("v")).cast("double"))
+    with pytest.raises(Exception, match="midway"):
+        sinks.write_batches(broken, path)
+    written = []
+    monkeypatch.setattr(Parts, "commit", lambda *args: written.append(args) or (_ for _ in ()).throw(OSError("lost the driver")))
+    with pytest.raises(OSError):
+        sinks.write_batches(spark.createDataFrame([(1, 7.0)], "batch_id int, v double"), path)
+    monkeypatch.undo()
+    assert written and rows_of(sinks.read_batches(spark, path), "batch_id") == [(1, 1.0), (2, 2.0)]
+
+
+def test_two_writers_of_one_range(spark, tmp_path):
+    """The later one fails; nothing that was committed is lost."""
+    path = str(tmp_path / "batches")
+    sinks.write_batches(spark.createDataFrame([(1, 1.0)], "batch_id int, v double"), path)
+    table = Parts(spark, path)
+    number, parts = table.state()
+    sinks.write_batches(spark.createDataFrame([(2, 2.0)], "batch_id int, v double"), path)
+    with pytest.raises(Conflict):
+        table.commit(number, {**parts, "0": "data-of-the-slower-writer"})
+    assert rows_of(sinks.read_batches(spark, path), "batch_id") == [(1, 1.0), (2, 2.0)]
 
 
 def test_append_of_new_documents(spark, tmp_path):
