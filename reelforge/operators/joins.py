@@ -112,6 +112,36 @@ def spread_join(facts: DataFrame, table: DataFrame, keys: list[str], how: str =
     return marked.join(spread, [*keys, "_salt"], how).drop("_salt")
 
 
+def spread_many(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS,
+                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Inner join in which a key may have many rows on either side or both.
+
+    A small side is broadcast. Otherwise a key of over ``hot_rows`` rows on a side is cut there into as many salts as its count
+    asks for, and the other side's rows of it are repeated for each: the pairs of a hot key lie on a grid of
+    tasks of at most ``hot_rows`` rows a side. Rows with a null among their keys meet nothing.
+    """
+    left, right = settle(left.dropna(subset=keys)), settle(right.dropna(subset=keys))
+    for one, other in ((right, left), (left, right)):
+        small = broadcast_if_small(one, broadcast_rows)
+        if small is not one:
+            return other.join(small, keys)
+
+    def hot(rows: DataFrame, salts: str) -> DataFrame:
+        counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+        return counts.select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias(salts))
+
+    both = broadcast_if_small(settle(hot(left, "_ls").join(hot(right, "_rs"), keys, "full")), broadcast_rows)
+
+    def placed(rows: DataFrame, own: str, theirs: str, own_salt: str, their_salt: str) -> DataFrame:
+        marked = rows.join(both, keys, "left")
+        salted = marked.withColumn(own_salt, F.pmod(F.xxhash64(*rows.columns), F.coalesce(own, F.lit(1))).cast("int"))
+        every = F.sequence(F.lit(0), F.coalesce(theirs, F.lit(1)) - 1)
+        return salted.withColumn(their_salt, F.explode(every)).drop("_ls", "_rs")
+
+    grid = placed(left, "_ls", "_rs", "_a", "_b").join(placed(right, "_rs", "_ls", "_b", "_a"), [*keys, "_a", "_b"])
+    return grid.drop("_a", "_b")
+
+
 def merge_map(known: DataFrame, found: DataFrame, key: str, value: str) -> DataFrame:
     """Map tables merged: entries already known win, new keys are added."""
     added = not_yet_done(found.select(key, value), known, key)
