@@ -48,3 +48,22 @@ def is_foreign(primary: Column | str, original: Column | str) -> Column:
     """The original title is known and differs from the primary title."""
     primary, original = _column(primary), _column(original)
     return F.coalesce((primary != original) & (original != ""), F.lit(False))
+
+
+def csv_cells(line: Column | str) -> Column:
+    """A CSV line as an array of cells, without those that are empty at its end, but with one at least.
+
+    Quotes around a cell are taken off and doubled ones inside it halved; an empty cell is null. The line is gone through
+    once, however many cells it has.
+    """
+    line = F.col(line) if isinstance(line, str) else line
+    found = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit(r'("(?:[^"]++|"")*+"|[^,]*+),'), F.lit(1))
+    cells = F.transform(found, lambda cell: F.nullif(F.when(
+        cell.startswith('"') & cell.endswith('"') & (F.length(cell) > 1), F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))).otherwise(cell), F.lit("")))
+
+    def without_empty_end(all_cells: Column) -> Column:
+        filled = F.array_position(F.reverse(F.transform(all_cells, lambda cell: cell.isNotNull())), True)
+        kept = F.when(filled == 0, 1).otherwise(F.size(all_cells) - filled + 1)
+        return F.slice(all_cells, F.lit(1), F.greatest(kept, F.lit(1)).cast("int"))
+
+    return F.transform(F.array(cells), without_empty_end)[0]  # the line is matched once, not once for each use

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from reelforge.operators.durable import BROADCAST_ROWS, broadcast_if_small, settle
 
 HOT_ROWS = 1_000_000
-SALTS = 64
 
 
 def _keys(rows: DataFrame, key: str) -> DataFrame:
@@ -62,28 +61,13 @@ def lookup(facts: DataFrame, dimension: DataFrame, key: Column, dimension_key: s
 
 def attach_counts(facts: DataFrame, counts: DataFrame, key: str, size: str, how: str = "inner",
                   hot_rows: int = HOT_ROWS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join facts to their per-key row counts, balanced when one key holds a third of the rows of either side.
+    """Join facts to their per-key row counts, balanced when one key holds a third of the facts.
 
-    The counts are settled first. If they are few and small they are broadcast and no fact is shuffled. Otherwise the
-    keys are split. A key is hot when it has ``hot_rows`` rows by its count or among the facts, so there are at most
-    2 * rows / ``hot_rows`` hot keys, two million for 10^12 rows. Hot facts and their counts are salted: the counts, one row per
-    key, are repeated once per salt. Facts with a null key meet no count and are not shuffled. All other
-    facts are shuffled on the key, none of which has more than ``hot_rows`` rows on either side.
+    The counts have one row per key, so only the facts can be skewed: ``spread_join`` cuts a key of over ``hot_rows`` of
+    them into as many salts as that takes. Facts with a null key meet no count and are not shuffled.
     """
-    counts = settle(counts.select(key, size))
-    small = broadcast_if_small(counts, broadcast_rows)
-    if small is not counts:
-        return facts.join(small, key, how)
-    often = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_rows)
-    hot = settle(
-        counts.where((F.col(size) >= hot_rows) & F.col(key).isNotNull()).select(key).union(often.select(key)).distinct()
-        .withColumn("_hot", F.lit(True)))
-    salts = F.array(*[F.lit(i) for i in range(SALTS)])
-    marked = facts.where(F.col(key).isNotNull()).join(broadcast_if_small(hot), key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")).otherwise(0))
-    spread = counts.where(F.col(key).isNotNull()).join(broadcast_if_small(hot), key, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), salts).otherwise(F.array(F.lit(0)))))
-    joined = marked.drop("_hot").join(spread.drop("_hot"), [key, "_salt"], how).select(*facts.columns, size)
+    counts = counts.select(key, size).where(F.col(key).isNotNull())
+    joined = spread_join(facts.where(F.col(key).isNotNull()), counts, [key], how, hot_rows, broadcast_rows).select(*facts.columns, size)
     if how == "inner":
         return joined
     nulls = facts.where(F.col(key).isNull()).withColumn(size, F.lit(None).cast(counts.schema[size].dataType))

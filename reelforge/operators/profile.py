@@ -1,11 +1,12 @@
 """Profiles of tables: counts, means, medians, quartiles, nulls, correlations."""
 
-from itertools import combinations_with_replacement
+from itertools import combinations, combinations_with_replacement
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelforge.constants import SENTINELS
+from reelforge.operators.durable import settle
 from reelforge.operators.quantiles import exact_medians, exact_quantiles
 
 
@@ -43,6 +44,30 @@ def group_profile(df: DataFrame, group: str, value: str, key: str) -> DataFrame:
     return means.join(exact_medians(known, [group], value, "median_value"), group, "left")
 
 
+def level_profile(df: DataFrame, dimensions: list[str], value: str, levels: list[list[str]] | None = None) -> DataFrame:
+    """Rows, mean and exact median of a value at several levels of grouping: ``level``, the dimensions, ``n``, ``mean``, ``median``.
+
+    ``levels`` lists the grouping sets, all subsets of the dimensions (a cube) unless given; ``rollup_levels`` gives those of a
+    roll-up. ``level`` names the dimensions that a row is grouped by; the others are null in it, as is a dimension whose value is
+    null. Every row stands once in each level; counts and means are combined map-side, and medians come from
+    ``exact_quantiles``, so the level of all rows together is as safe as any.
+    """
+    levels = levels if levels is not None else [list(some) for size in range(len(dimensions), -1, -1) for some in combinations(dimensions, size)]
+    keys = [f"_k{i}" for i in range(len(dimensions))]
+    texts = [F.coalesce(F.concat(F.lit("="), F.col(f"`{name}`").cast("string")), F.lit("")) for name in dimensions]  # quantiles need groups without nulls
+    sets = F.array(*[F.struct(
+        F.lit(",".join(level)).alias("level"), *[(text if name in level else F.lit("")).alias(key) for name, text, key in zip(dimensions, texts, keys)],
+        *[(F.col(f"`{name}`") if name in level else F.lit(None).cast(df.schema[name].dataType)).alias(name) for name in dimensions]) for level in levels])
+    rows = settle(df.select(F.explode(sets).alias("_set"), F.col(value).cast("double").alias("_value")).select("_set.*", "_value"))
+    stats = rows.groupBy("level", *keys, *dimensions).agg(F.count(F.lit(1)).alias("n"), F.avg("_value").alias("mean"))
+    medians = exact_medians(rows, ["level", *keys], "_value", "median")
+    return stats.join(medians, ["level", *keys], "left").select("level", *dimensions, "n", "mean", "median")
+
+
+def rollup_levels(dimensions: list[str]) -> list[list[str]]:
+    return [dimensions[:size] for size in range(len(dimensions), -1, -1)]
+
+
 def _stacked(df: DataFrame, names: list[str], fields: dict[str, str]) -> DataFrame:
     """A one-row frame of ``<field>_<i>`` columns as one row per name."""
     rows = [

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelforge.functions import missing
-from reelforge.operators import hygiene, profile
+from reelforge.operators import hygiene, profile, sketches
 from reelforge.operators.documents import genre_rollup
 from reelforge.operators.durable import settle
 from reelforge.plans import sql_views as V
@@ -170,3 +170,63 @@ def events_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.group_profile(events, "event_type", "value", "event_id").withColumns({
         "mean_value": F.round("mean_value", 4), "median_value": F.round("median_value", 4)
     })
+
+
+PLACED = """placed AS (SELECT split, start_year, r_name AS region, votes FROM clean JOIN orders ON o_orderkey = row_id
+  JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+
+
+def placed_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes of titles with split, year and region."""
+    rows = typed_titles(spark, sf_dir).select("row_id", "split", F.col("startYear").alias("start_year"), "numVotes")
+    owners = table(spark, sf_dir, "orders", F.col("o_orderkey").alias("row_id"), "o_custkey")
+    customers = table(spark, sf_dir, "customer", F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
+    nations = table(spark, sf_dir, "nation", "n_nationkey", F.col("n_regionkey").alias("r_regionkey"))
+    regions = table(spark, sf_dir, "region", "r_regionkey", F.col("r_name").alias("region"))
+    return rows.join(owners, "row_id").join(customers, "o_custkey").join(nations, "n_nationkey").join(regions, "r_regionkey").select(
+        "split", "start_year", "region", F.col("numVotes").alias("votes"))
+
+
+def _levels_sql(grouping: str) -> str:
+    names = ", ".join(f"CASE WHEN grouping({name}) = 0 THEN '{name}' END" for name in ("split", "start_year", "region"))
+    return f"""WITH {V.CLEAN}, {PLACED} SELECT concat_ws(',', {names}) AS level, split, start_year, region, count(*) AS n,
+  round(avg(votes), 4) AS mean, round(median(votes), 4) AS median FROM placed GROUP BY {grouping}"""
+
+
+@query("cube_profile", _levels_sql("CUBE(split, start_year, region)"))
+def cube_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes by split, year and region at all eight levels, medians exact at each."""
+    found = profile.level_profile(placed_titles(spark, sf_dir), ["split", "start_year", "region"], "votes")
+    return found.withColumns({"mean": F.round("mean", 4), "median": F.round("median", 4)})
+
+
+@query("rollup_profile", _levels_sql("ROLLUP(split, start_year, region)"))
+def rollup_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ["split", "start_year", "region"]
+    found = profile.level_profile(placed_titles(spark, sf_dir), names, "votes", profile.rollup_levels(names))
+    return found.withColumns({"mean": F.round("mean", 4), "median": F.round("median", 4)})
+
+
+def _sketch_sql(columns: list[str], listed: tuple[str, ...]) -> str:
+    def one(name: str) -> str:
+        heavy = f"(SELECT string_agg(v || '=' || n, ';' ORDER BY v) FROM (SELECT {name}::VARCHAR AS v, count(*) AS n FROM orders WHERE {name} IS NOT NULL GROUP BY 1))" if name in listed else "NULL"
+        return f"SELECT '{name}' AS \"column\", count(*) AS n_rows, count(*) - count({name}) AS n_null, true AS distinct_within, {heavy} AS heavy FROM orders"
+    return " UNION ALL ".join(map(one, columns))
+
+
+SKETCHED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+LISTED = ("o_orderstatus", "o_orderpriority")
+
+
+@query("sketch_profile", _sketch_sql(SKETCHED, LISTED))
+def sketch_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column sketches of three parts of the orders, stored and merged: estimates of different values within four standard errors
+    of the exact number, and the frequent values of columns with few, with their counts."""
+    orders = table(spark, sf_dir, "orders")
+    parts = [settle(sketches.column_sketches(orders.where(F.col("o_orderkey") % 3 == n), SKETCHED), "sketches") for n in range(3)]
+    report = sketches.sketch_report(sketches.merged(parts[0].unionByName(parts[1]).unionByName(parts[2])))
+    exact = profile.column_profile(orders.select(*SKETCHED))
+    within = F.abs(F.col("n_distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), 4 * sketches.STANDARD_ERROR * F.col("exact"))
+    items = F.array_join(F.sort_array(F.transform("heavy", lambda x: F.concat(x["value"], F.lit("="), x["n"].cast("string")))), ";")
+    return report.join(exact.select("column", F.col("n_distinct").alias("exact")), "column").select(
+        "column", "n_rows", "n_null", within.alias("distinct_within"), F.when(F.col("column").isin(*LISTED), items).alias("heavy"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelforge import schemas
-from reelforge.functions import missing, nested
+from reelforge.functions import missing, nested, text
 from reelforge.operators.documents import document_map_rows, id_map_rows
 from reelforge.operators.durable import broadcast_if_small, settle
 from reelforge.operators.hygiene import sentinels_to_null
@@ -119,19 +119,16 @@ def read_table(spark: SparkSession, path: str, *columns: str) -> DataFrame:
 def _wide_cells(lines: DataFrame, source: str, line: str, index: str) -> DataFrame:
     """Data lines as ``(source, line, cells, names)``; ``names`` is null where the file has no header.
 
-    A file's header is its line whose first field is ``index``. The number of fields is taken from the lines: one
-    more than the most commas of any, which no line can exceed.
+    A file's header is its line whose first field is ``index``. Every line is cut into as many cells as it has, whatever
+    the others have: a line of many commas costs no other line anything. Only lines that begin like a header are read
+    for the headers.
     """
     lines = lines.select(F.col(source).alias("source"), F.col(line).alias("line"))
-    width = (lines.agg(F.max(F.regexp_count("line", F.lit(",")))).first()[0] or 0) + 1
-    row = F.from_csv("line", ", ".join(f"c{i} string" for i in range(width)))
-    filled = F.reverse(F.array(*[F.col(f"_row.c{i}") for i in range(width)]))
-    last = F.array_position(F.transform(filled, lambda cell: cell.isNotNull()), True)
-    cells = F.reverse(F.slice(filled, F.greatest(last, F.lit(1)).cast("int"), width))
-    parsed = settle(lines.withColumn("_row", row).select("source", "line", cells.alias("cells")))
-    is_header = F.coalesce(F.element_at("cells", 1) == index, F.lit(False))
-    headers = parsed.where(is_header).groupBy("source").agg(F.min("cells").alias("names"))
-    return parsed.where(~is_header).join(broadcast_if_small(settle(headers)), "source", "left")
+    cells = lines.withColumn("cells", text.csv_cells("line"))
+    is_header = F.coalesce(F.get("cells", F.lit(0)) == index, F.lit(False))
+    likely = F.col("line").startswith(index) | F.col("line").startswith(f'"{index}"')
+    headers = cells.where(likely).where(is_header).groupBy("source").agg(F.min("cells").alias("names"))
+    return cells.where(~is_header).join(broadcast_if_small(settle(headers)), "source", "left")
 
 
 def wide_lines_to_long(lines: DataFrame, source: str, line: str, index: str = "date") -> DataFrame:

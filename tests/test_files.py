@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from reelforge.functions.text import csv_cells
 from reelforge.operators import documents
 from reelforge.sinks import files as sinks
 from reelforge.sinks.parts import Conflict, Parts
@@ -204,6 +205,29 @@ def test_series_of_any_width_and_header(spark):
     assert rejects == {("a", "not a number"), ("a", "more cells than the header"), ("a", "no date"), ("b", "no header")}
 
 
+def test_one_line_of_many_cells_costs_no_other_file_anything(spark):
+    lines = [("a", "date,x,y"), ("a", "2020-01-05,1,2"), ("a", "2020-01-06," + "7," * 50_000 + "8"), ("b", 'date,"q, ""z"""'), ("b", "2020-01-07,4"),
+             ("b", '"2020-01-08","5"'), ("b", "2020-01-09,,,,"), ("b", '2020-01-10,"open'), ("b", None), ("b", "")]
+    frame = spark.createDataFrame(lines, "file string, text string")
+    assert "from_csv" not in sources.wide_lines_to_long(frame, "file", "text")._jdf.queryExecution().toString()
+    long = sorted((r.file, str(r.date), r.series, r.value) for r in sources.wide_lines_to_long(frame, "file", "text").collect())
+    assert long == [("a", "2020-01-05", "x", 1.0), ("a", "2020-01-05", "y", 2.0), ("b", "2020-01-07", 'q, "z"', 4.0), ("b", "2020-01-08", 'q, "z"', 5.0)]
+    rejects = [(r.id, r.reason) for r in sources.wide_line_rejects(frame, "file", "text").collect()]
+    assert ("a", "more cells than the header") in rejects and ("b", "not a number") in rejects
+
+
+@pytest.mark.parametrize("line", ["a,b", "", ",", ",a", "a,,", '"x,y",z', '"say ""hi""",2', ',,"",3', '"open, 1', 'a"b,c', "é,漢", '"",'])
+def test_cells_match_a_csv_reader(spark, line):
+    import csv
+    expected = next(csv.reader([line]), [""]) or [""]
+    while len(expected) > 1 and expected[-1] == "":
+        expected.pop()
+    if line == '"open, 1':
+        expected = ['"open', " 1"]  # a quote that is never closed is a letter
+    found = spark.range(1).select(csv_cells(F.lit(line)).alias("cells")).first()["cells"]
+    assert [cell or "" for cell in found] == expected
+
+
 def test_one_bad_entry_loses_nothing_else(spark):
     rows = spark.createDataFrame([('{"b": 2, "c": "x", "d": null}',), ("{broken",), (None,)], "value string")
     assert rows_of(documents.id_map_rows(rows), "imdb_id") == [("b", 2)]

@@ -330,3 +330,20 @@ def test_knn_edges(spark):
     assert knn_matrix(spark, apart).tolist() == [[1.0, 6.0], [1.0, 4.0], [1.0, 8.0]]
     whole = np.array([[1.0, 2.0]])
     assert knn_matrix(spark, whole).tolist() == [[1.0, 2.0]]
+
+
+def test_levels_match_plain_python(spark):
+    rows = [(a, b, v) for i, (a, b) in enumerate([("x", 1), ("x", 1), ("x", None), (None, 2), ("y", 2), (None, None), ("", 1)]) for v in (float(i), float(i * i), None, 7.5)]
+    frame = spark.createDataFrame(rows, "a string, b int, v double")
+    found = sorted(map(tuple, profile.level_profile(frame, ["a", "b"], "v").collect()), key=repr)
+    expected = []
+    for level, key in (("a,b", lambda r: r[:2]), ("a", lambda r: (r[0], None)), ("b", lambda r: (None, r[1])), ("", lambda r: (None, None))):
+        for group in {key(r) for r in rows}:
+            values = sorted(r[2] for r in rows if key(r) == group and r[2] is not None)
+            middle = (values[(len(values) - 1) // 2] + values[len(values) // 2]) / 2
+            expected.append((level, *group, sum(key(r) == group for r in rows), pytest.approx(sum(values) / len(values)), pytest.approx(middle)))
+    assert len(found) == len(expected)
+    for row in expected:
+        assert any(row == other for other in found), row
+    some = profile.level_profile(frame, ["a", "b"], "v", profile.rollup_levels(["a", "b"]))
+    assert {r.level for r in some.select("level").distinct().collect()} == {"a,b", "a", ""}
