@@ -27,10 +27,11 @@ from pyspark.sql import functions as F
 
 from reelforge.constants import NEIGHBOURS
 from reelforge.functions.missing import nan_to_null
+from reelforge.operators import knn_any
 from reelforge.operators.durable import settle
 
-MAX_COLUMNS = 40  # a family's number holds a bit per column beside that of its unit
-MAX_PATTERNS = 10_000
+MOST_COLUMNS = 40  # a family's number holds a bit per column beside that of its unit
+PROJECTED = 64  # patterns that donors are projected on; the others, and wider frames, go through knn_any
 BLOCK = 256
 MAX_CELLS = 200_000
 CELL_ROWS = 64
@@ -40,22 +41,26 @@ SAMPLE_PER_CELL = 10
 def knn_impute(df: DataFrame, key: str, columns: list[str], k: int = NEIGHBOURS) -> DataFrame:
     """``key`` and ``columns`` of ``df`` with missing values imputed from the k nearest rows.
 
-    ``key`` is unique and not null. Scale the columns first: distances add their squares.
+    ``key`` is unique and not null. Scale the columns first: distances add their squares. Any number of columns and of
+    patterns of missing ones will do: rows of the ``PROJECTED`` most frequent patterns are asked of projected donors, all others go
+    through ``knn_any``.
     """
-    width = len(columns)
-    if not 1 <= width <= MAX_COLUMNS:
-        raise ValueError(f"between 1 and {MAX_COLUMNS} columns, not {width}")
-    places = range(width)
-    names = [f"x{i}" for i in places]
+    names = [f"x{i}" for i in range(len(columns))]
 
     rows = df.select(
         F.col(key).alias("key"), *[nan_to_null(F.col(name).cast("double")).alias(x) for name, x in zip(columns, names)]
     )
-    has = sum((F.when(F.col(x).isNotNull(), F.lit(1 << i).cast("long")).otherwise(0) for i, x in enumerate(names)), F.lit(0).cast("long"))
-    rows = settle(rows.withColumn("has", has))
+    narrow = len(columns) <= MOST_COLUMNS
+    bits = [F.when(F.col(x).isNotNull(), F.lit(1 << i).cast("long")).otherwise(0) for i, x in enumerate(names)] if narrow else []
+    rows = settle(rows.withColumn("has", sum(bits, F.lit(0).cast("long"))))
     means = rows.agg(F.struct(*[F.avg(x).alias(x) for x in names]).alias("m")).scalar()
 
-    estimates = _estimates(rows, names, k)
+    full = (1 << len(columns)) - 1
+    lacking = rows.where(F.col("has") != full) if narrow else rows
+    patterns = [row["has"] for row in lacking.groupBy("has").count().orderBy(F.desc("count"), "has").limit(PROJECTED).collect()] if narrow else []
+    found = [_estimates(rows, names, k, patterns), knn_any.estimates(rows, lacking.where(~F.col("has").isin(patterns)), names, k, _split)]
+    found = [part for part in found if part is not None]
+    estimates = found[0].unionByName(found[-1]) if len(found) == 2 else found[0] if found else None
     if estimates is not None:
         rows = rows.join(estimates, "key", "left")
     filled = [
@@ -65,13 +70,9 @@ def knn_impute(df: DataFrame, key: str, columns: list[str], k: int = NEIGHBOURS)
     return rows.withColumn("_means", means).select(F.col("key").alias(key), *filled)
 
 
-def _estimates(rows: DataFrame, names: list[str], k: int) -> DataFrame | None:
-    """``key, near_0, near_1, ...`` for the rows that miss something; None when no row does."""
+def _estimates(rows: DataFrame, names: list[str], k: int, patterns: list[int]) -> DataFrame | None:
+    """``key, near_0, near_1, ...`` for the rows of some patterns; None when there is nothing to ask."""
     width = len(names)
-    full = (1 << width) - 1
-    patterns = [row.has for row in rows.where(F.col("has") != full).select("has").distinct().limit(MAX_PATTERNS + 1).collect()]
-    if len(patterns) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} patterns of missing columns")
     units = [(pattern, i) for pattern in sorted(patterns) if pattern for i in range(width) if not pattern >> i & 1]
     if not units:
         return None
@@ -80,7 +81,7 @@ def _estimates(rows: DataFrame, names: list[str], k: int) -> DataFrame | None:
         for u, (pattern, i) in enumerate(units)
     ])
 
-    asked = rows.where(F.col("has") != full).select(
+    asked = rows.where(F.col("has").isin(patterns)).select(
         "key", "has", *[F.coalesce(x, F.lit(0.0)).alias(x) for x in names],
         F.explode(F.filter(unit_list, lambda u: u["pattern"] == F.col("has"))).alias("u"),
     ).select("key", "u.unit", "u.target", *names)

@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from reelforge.operators import census, credits, documents, hygiene, impute, joins, knn, numbering, profile, quantiles, series
+from reelforge.operators import census, credits, documents, hygiene, impute, joins, knn, knn_any, numbering, profile, quantiles, series
 
 
 def rows_of(frame, *order):
@@ -314,6 +314,32 @@ def test_knn_equals_brute_force(spark, monkeypatch, seed, decimals):
     assert knn_matrix(spark, matrix) == pytest.approx(brute_force(matrix, 5))
 
 
+@pytest.mark.parametrize("projected", [0, 2])
+@pytest.mark.parametrize("decimals", [6, 1])
+def test_knn_of_rare_patterns_equals_brute_force(spark, monkeypatch, projected, decimals):
+    """All or most patterns without projection; cells so small that there are several levels of them."""
+    monkeypatch.setattr(knn, "PROJECTED", projected)
+    monkeypatch.setattr(knn_any, "CELL_ROWS", 4)
+    monkeypatch.setattr(knn_any, "FAN", 3)
+    monkeypatch.setattr(knn_any, "BLOCK", 5)
+    random = np.random.default_rng(3)
+    matrix = np.round(random.random((200, 4)), decimals)
+    matrix[random.random((200, 4)) < 0.2] = np.nan
+    matrix[7] = np.nan
+    matrix[20:70] = matrix[20]
+    assert knn_matrix(spark, matrix) == pytest.approx(brute_force(matrix, 5))
+
+
+def test_knn_of_sixty_columns(spark):
+    """Almost every row has a pattern of its own."""
+    random = np.random.default_rng(4)
+    matrix = np.round(random.random((150, 60)) + np.arange(150)[:, None] % 5, 6)
+    matrix[random.random((150, 60)) < 0.1] = np.nan
+    matrix[:, 3] = np.nan
+    matrix[5, 3] = 2.0
+    assert knn_matrix(spark, matrix) == pytest.approx(brute_force(matrix, 5))
+
+
 def test_knn_with_a_coarse_sample(spark, monkeypatch):
     monkeypatch.setattr(knn, "CELL_ROWS", 4)
     monkeypatch.setattr(knn, "SAMPLE_PER_CELL", 1)
