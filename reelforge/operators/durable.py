@@ -3,6 +3,8 @@
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +28,33 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_open_scopes: list[list[str]] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Everything staged inside the block is removed at its end: write or collect the results in it.
+
+    A long session frees its disk so; without a block what was staged stays until the driver's Python ends, because a frame
+    that a caller holds may read it.
+    """
+    paths: list[str] = []
+    _open_scopes.append(paths)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(paths)
+        for path in paths:
+            _remove(spark, path)
+
+
 def staging_path(spark: SparkSession, label: str = "staged") -> str:
-    """A new path in the shared folder; what is written there goes when the driver's Python ends."""
+    """A new path in the shared folder; what is written there goes with the open ``staging`` block or when the driver's Python ends."""
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
+    if _open_scopes:
+        _open_scopes[-1].append(path)
+    else:
+        atexit.register(_remove, spark, path)
     return path
 
 

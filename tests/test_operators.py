@@ -358,6 +358,22 @@ def test_knn_edges(spark):
     assert knn_matrix(spark, whole).tolist() == [[1.0, 2.0]]
 
 
+def test_staged_rows_go_with_their_block(spark):
+    from pathlib import Path
+
+    from reelforge.operators import durable
+    folder = Path(durable.shared_folder(spark).removeprefix("file://"))
+    before = set(folder.iterdir())
+    with durable.staging(spark):
+        kept = durable.settle(spark.range(5))
+        assert kept.count() == 5 and len(set(folder.iterdir()) - before) == 1
+        with pytest.raises(ValueError), durable.staging(spark):
+            durable.settle(spark.range(3))
+            raise ValueError
+        assert len(set(folder.iterdir()) - before) == 1
+    assert set(folder.iterdir()) == before
+
+
 def test_levels_match_plain_python(spark):
     rows = [(a, b, v) for i, (a, b) in enumerate([("x", 1), ("x", 1), ("x", None), (None, 2), ("y", 2), (None, None), ("", 1)]) for v in (float(i), float(i * i), None, 7.5)]
     frame = spark.createDataFrame(rows, "a string, b int, v double")
