@@ -17,6 +17,6 @@ QUERIES = {
     "op12_benchmark_decontamination": contamination.op12_benchmark_decontamination,
     "op13_conversation_repair": conversations.op13_conversation_repair,
 }
-SQL = {"op1_line_dedup": lines.OP1_SQL, "op2_license_scan": licenses.OP2_SQL, "op3_secret_scan": secrets.OP3_SQL, "op6_exact_dedup": exact.OP6_SQL,
+SQL = {"op1_line_dedup": lines.OP1_SQL, "op2_license_scan": licenses.OP2_SQL, "op3_secret_scan": secrets.OP3_SQL, "op6_exact_dedup": exact.OP6_SQL, "op8_ngram_jaccard_join": similar.OP8_SQL,
        "op11_phrase_collocations": phrases.OP11_SQL,
        "op12_benchmark_decontamination": contamination.OP12_SQL, "op13_conversation_repair": conversations.OP13_SQL}

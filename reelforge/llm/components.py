@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelforge.operators.durable import settle
+from reelforge.operators.joins import spread_join
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -14,8 +15,7 @@ def connected(edges: DataFrame) -> DataFrame:
     is stored; the driver sees a count and a checksum. Edges are never expanded to pairs.
     """
     def star(pairs: DataFrame) -> DataFrame:
-        smallest = pairs.groupBy("u").agg(F.min("v").alias("m"))
-        return pairs.join(smallest, "u")
+        return spread_join(pairs, pairs.groupBy("u").agg(F.min("v").alias("m")), ["u"], "inner")  # a centre may have very many
 
     def state(pairs: DataFrame) -> tuple:
         return tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())

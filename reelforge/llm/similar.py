@@ -12,6 +12,7 @@ from reelforge.llm.components import connected
 from reelforge.llm.frames import carried, documents, whole_text
 from reelforge.llm.rawtext import Hasher, mixed, utf8, word_hashes
 from reelforge.operators.durable import settle
+from reelforge.operators.joins import spread_join
 
 NGRAM = 5
 LEAST = 0.8
@@ -212,7 +213,7 @@ def similar_documents(docs: DataFrame, n: int = NGRAM, least: float = LEAST, rec
         .join(roots.join(kept, "root").select(F.col("node").alias("set"), "first"), "set", "left").join(links, "set", "left")
         .select("set", F.coalesce("first", "least").alias("first"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     )
-    return signed.drop("bands").join(grouped, "set", "left").select(
+    return spread_join(signed.drop("bands"), grouped, ["set"], "left").select(
         "doc_id", F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce(F.col("first.row") == F.col("row"), F.lit(True)).alias("kept"), "hash")
@@ -231,4 +232,29 @@ def one_of_each(docs: DataFrame, **settings) -> DataFrame:
 
 
 def op8_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
+    """Classes and links of ``documents`` whose 5-word sets are at least 0.8 similar."""
     return similar_documents(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links", "kept")
+
+
+OP8_SQL = f"""
+WITH RECURSIVE texts AS (
+    SELECT row_number() OVER () AS row_no, doc_id,
+           list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x09-\\x0D\\x20]+'), lambda w: w <> '') AS words FROM documents),
+sets AS (
+    SELECT row_no, doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < {NGRAM} THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - {NGRAM - 2}), lambda i: array_to_string(words[i : i + {NGRAM - 1}], ' '))) END AS grams
+    FROM texts),
+grams AS (SELECT row_no, unnest(grams) AS gram FROM sets),
+pairs AS (
+    SELECT a.row_no AS a, b.row_no AS b, count(*) AS shared FROM grams a JOIN grams b ON a.gram = b.gram AND a.row_no < b.row_no
+    GROUP BY a.row_no, b.row_no),
+links AS (
+    SELECT a, b FROM pairs JOIN sets x ON x.row_no = a JOIN sets y ON y.row_no = b
+    WHERE shared::DOUBLE / (len(x.grams) + len(y.grams) - shared) >= {LEAST}),
+both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT row_no AS a, row_no AS b FROM sets UNION SELECT r.a, e.b FROM reach r JOIN both e ON e.a = r.b),
+classes AS (SELECT a AS row_no, min(b) AS class FROM reach GROUP BY a),
+degrees AS (SELECT a AS row_no, count(*) AS n FROM both GROUP BY a)
+SELECT doc_id, first_value(doc_id) OVER same AS class_id, coalesce(n, 0) AS n_links, row_number() OVER same = 1 AS kept
+FROM sets JOIN classes USING (row_no) LEFT JOIN degrees USING (row_no) WINDOW same AS (PARTITION BY class ORDER BY doc_id NULLS FIRST, row_no)
+"""
