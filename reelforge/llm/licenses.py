@@ -132,16 +132,25 @@ def window_hits(texts: DataFrame, notices: tuple, full: tuple, least: float) ->
     begins = F.filter(
         F.sequence(F.lit(0), F.size("_met") - F.col("_of.need")),
         lambda j: F.get("_met", j + F.col("_of.need") - 1)["pos"] <= F.get("_met", j)["pos"] + F.col("_of.words") - 2)
-    begun = met.select("_key", "_of", "_met", F.explode(begins).alias("_j")).withColumn("_from", F.get("_met", F.col("_j"))["pos"])
-    inside = F.filter(F.slice("_met", F.col("_j") + 1, F.col("_of.words") - 1), lambda x: x["pos"] <= F.col("_from") + F.col("_of.words") - 2)
-    begun = begun.withColumn("_shared", F.size(F.array_distinct(F.transform(inside, lambda x: x["gram"])))).where(F.col("_shared") >= F.col("_of.need"))
-    both = begun.select("_key", "_of", "_from", "_shared").join(cut, "_key")
-    size = F.size(F.array_distinct(F.slice("_grams", F.col("_from") + 1, F.col("_of.words") - 1)))
-    dice = F.lit(2.0) * F.col("_shared") / (size + F.col("_of.size"))
-    last = F.least(F.col("_from") + F.col("_of.words"), F.size("_lines")) - 1
-    return both.withColumn("_dice", dice).where(F.col("_dice") >= least).select("doc_id", "_text", F.struct(
-        (-F.col("_shared")).alias("loss"), (-F.col("_dice")).alias("far"), F.col("_of.licence").alias("licence"), F.col("_from").alias("first"),
-        last.alias("last"), F.get("_lines", F.col("_from")).alias("line"), F.get("_lines", last).alias("until"), F.col("_of.whole").alias("whole")).alias("window"))
+
+    def begun(j: Column) -> Column:
+        start = F.get("_met", j)["pos"]
+        inside = F.filter(F.slice("_met", j + 1, F.col("_of.words") - 1), lambda x: x["pos"] <= start + F.col("_of.words") - 2)
+        return F.struct(start.alias("first"), F.size(F.array_distinct(F.transform(inside, lambda x: x["gram"]))).alias("shared"))
+
+    found = met.select("_key", "_of", F.filter(F.transform(begins, begun), lambda w: w["shared"] >= F.col("_of.need")).alias("_found"))
+
+    def judged(w: Column) -> Column:
+        size = F.size(F.array_distinct(F.slice("_grams", w["first"] + 1, F.col("_of.words") - 1)))
+        last = F.least(w["first"] + F.col("_of.words"), F.size("_lines")) - 1
+        return F.struct(
+            (-w["shared"]).alias("loss"), (-(F.lit(2.0) * w["shared"] / (size + F.col("_of.size")))).alias("far"), F.col("_of.licence").alias("licence"),
+            w["first"].alias("first"), last.alias("last"), F.get("_lines", w["first"]).alias("line"), F.get("_lines", last).alias("until"), F.col("_of.whole").alias("whole"))
+
+    # a document meets all its windows for a template at once: it is not copied for each of them
+    both = found.where(F.size("_found") > 0).join(cut.drop("_may"), "_key")
+    hits = F.filter(F.transform("_found", judged), lambda w: -w["far"] >= least)
+    return both.select("doc_id", "_text", F.explode(hits).alias("window"))
 
 
 def windows_beside(units: Column, windows: Column) -> Column:
