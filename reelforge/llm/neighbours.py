@@ -25,6 +25,7 @@ class Search(NamedTuple):
 EVERY = 20
 NEAREST = 20
 QUERIES_AT_ONCE = 4_096
+PROBED_AT_ONCE = 128
 ROWS_AT_ONCE = 16_384
 HELD = 1_000_000
 #: Lengths of one range differ by at most this factor, but for the last range, which has all that are shorter still.
@@ -206,7 +207,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, nearest_: int = NEAREST, sea
     asked = settle(
         usable.join(queries.select("vec_id").distinct(), "vec_id", "left_semi")
         .join(distinct.select("vector", "first"), "vector").select("vec_id", "first", "vector"), "queries")
-    asked_once = asked.groupBy("first").agg(F.first("vector").alias("vector"))
+    n_asked = asked.count()
+    # each query becomes all of its probes: few rows that have to be spread over tasks before
+    asked_once = asked.groupBy("first").agg(F.first("vector").alias("vector")).repartition(n_asked // PROBED_AT_ONCE + 1, "first")
 
     kind = vectors.schema["embedding"].dataType.simpleString()
     inside = F.col("range").isin(sorted(hashed))
@@ -221,7 +224,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, nearest_: int = NEAREST, sea
     def all_pieces(some: DataFrame) -> DataFrame:
         return some.select(F.lit(-1).alias("table"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(pieces - 1).cast("long"))).alias("bucket"), F.col("first").alias("query"), "vector")
 
-    salts = [max(1, n // at_once) for n, at_once in ((rows, ROWS_AT_ONCE), (asked.count(), QUERIES_AT_ONCE))]
+    salts = [max(1, n // at_once) for n, at_once in ((rows, ROWS_AT_ONCE), (n_asked, QUERIES_AT_ONCE))]
 
     def scores(index: DataFrame, probes: DataFrame) -> DataFrame:
         candidates = index.groupBy("table", "bucket", F.pmod(F.xxhash64("first"), F.lit(salts[0])).alias("_block")).agg(
@@ -257,5 +260,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, nearest_: int = NEAREST, sea
 
 
 def op10_nearest_neighbours(spark, sf_dir: str) -> DataFrame:
+    """The 20 nearest of ``embeddings`` by inner product for every twentieth of them."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return nearest(vectors, vectors.where(F.col("vec_id") % EVERY == 0))
