@@ -16,7 +16,7 @@ SLOTS = 1 << 20
 HASHES = 3
 LEAST_COUNT = 2
 LEAST_SHARE = 0.25
-PIECE_CHARS = 1 << 21
+PIECE_CHARS = 1 << 19
 LEAST_SCORE = 0.3
 
 

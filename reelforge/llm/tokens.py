@@ -9,9 +9,9 @@ from reelforge.llm.rawtext import Hasher, runs, utf8
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 300_000
 WORDS_AT_ONCE = 2_000
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
 
 # Byte classes of the tokenizer's word pattern (0 white space, 1 letter, 2 digit, 3 other, 9 not settled here).
 _CLASS = np.full(256, 3, np.uint8)

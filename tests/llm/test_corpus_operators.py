@@ -1,3 +1,4 @@
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -89,6 +90,45 @@ def test_language_of_unseen_documents(spark, corpus):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def plain_grams(text):
+    """Character trigrams around letters, boundaries as one mark, in plain Python."""
+    shape = " " + "".join(c if c.isalpha() else " " for c in (text or "").lower()) + " "
+    while "  " in shape:
+        shape = shape.replace("  ", " ")
+    return [shape[i : i + 3] for i in range(len(shape) - 2) if shape[i + 1] != " "]
+
+
+def exact_languages(rows):
+    """Per row ``(lang_pred, score)`` with sets in place of filters, and the lead of the best language."""
+    counts = defaultdict(Counter)
+    for doc_id, text, lang in rows:
+        if doc_id is not None and lang is not None and text is not None and zlib.crc32(str(doc_id).encode()) % 4 != 2:
+            counts[lang].update(plain_grams(text))
+    rates = {lang: {g: n / sum(c.values()) for g, n in c.items()} for lang, c in counts.items()}
+    top = Counter()
+    for found in rates.values():
+        for gram, rate in found.items():
+            top[gram] = max(top[gram], rate)
+    held = {lang: {g for g, n in c.items() if n >= language.LEAST_COUNT and rates[lang][g] >= language.LEAST_SHARE * top[g]} for lang, c in counts.items()}
+    found = []
+    for _, text, _ in rows:
+        grams = plain_grams(text)
+        share = {lang: sum(g in held[lang] for g in grams) / len(grams) if grams else 0.0 for lang in sorted(held)}
+        ranked = sorted(share.values(), reverse=True) + [0.0]
+        found.append(("und", 0.0, 1.0) if not grams else (max(share, key=share.get), ranked[0], ranked[0] - ranked[1]))
+    return found
+
+
+def test_languages_match_exact_sets(corpus):
+    """Filters answer as sets would: the same language wherever one leads, the same score but for false positives."""
+    rows = sorted((r.doc_id, r.text, r.lang) for r in corpus.collect())
+    found = sorted((r.doc_id, r.lang_pred, r.score) for r in language.identify(corpus).select("doc_id", "lang_pred", "score").collect())
+    assert len(found) == len(rows)
+    for (_, predicted, score), (lang, share, lead) in zip(found, exact_languages(rows)):
+        assert abs(score - share) < 0.02
+        assert predicted == lang or lead < 0.02
+
+
 def test_language_of_odd_documents(odd_docs, no_docs):
     docs = with_clashing_columns(odd_docs)
     rows = language.identify(docs).select("_doc.text", "lang_pred", "score").collect()
