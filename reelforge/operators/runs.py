@@ -112,3 +112,20 @@ def on_full_calendar(series: DataFrame, by: list[str], day: str, values: list[st
     days = ends.select(*by, F.explode(F.sequence("_first", "_last", F.expr("INTERVAL 1 DAY"))).alias(day))
     filled = asof_join(days, rows, by, day, values, rows_per_bucket=rows_per_bucket)
     return filled.select(*by, day, *[F.col(f"{name}_asof").alias(name) for name in values], (F.col(f"{day}_asof") < F.col(day)).alias("is_filled"))
+
+
+def running_sums(rows: DataFrame, by: list[str], order: str, sums: dict[str, Column], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """``rows`` with sums over the rows of their key that come before them: one column of whole numbers per entry of ``sums``.
+
+    ``order`` tells the rows of a key apart; keys are not null. Sums run inside buckets; a bucket adds what the buckets before it hold of the key that
+    it begins with, which is one row per bucket.
+    """
+    dealt = _dealt(rows.select("*", *[value.cast("long").alias(f"_{name}") for name, value in sums.items()]), by, order, rows_per_bucket=rows_per_bucket)
+    earlier = Window.partitionBy("_bucket", *by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = dealt.select("*", *[F.coalesce(F.sum(f"_{name}").over(earlier), F.lit(0)).alias(name) for name in sums])
+    totals = settle(dealt.groupBy("_bucket", *by).agg(*[F.sum(f"_{name}").alias(f"_t_{name}") for name in sums]), "totals")
+    begins = totals.groupBy("_bucket").agg(F.min(F.struct(*by)).alias("_key")).select(F.col("_bucket").alias("_at"), "_key.*")
+    handed = totals.join(broadcast_if_small(settle(begins, "begins")), by).where(F.col("_bucket") < F.col("_at")).groupBy("_at", *by).agg(
+        *[F.sum(f"_t_{name}").alias(f"_h_{name}") for name in sums]).withColumnRenamed("_at", "_bucket")
+    joined = inside.join(broadcast_if_small(settle(handed, "handed")), ["_bucket", *by], "left")
+    return joined.select(*rows.columns, *[(F.col(name) + F.coalesce(f"_h_{name}", F.lit(0))).alias(name) for name in sums])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from reelforge.constants import GENRES
 from reelforge.functions import missing, nested
 from reelforge.operators import credits, documents, hygiene, impute, knn, series
-from reelforge.operators.durable import settle
+from reelforge.operators.durable import settle, staging_path
 from reelforge.plans import classify
 from reelforge.plans import sql_views as V
 from reelforge.plans.bindings import (
@@ -15,7 +15,7 @@ from reelforge.plans.bindings import (
 from reelforge.plans.bindings import series as series_rows
 from reelforge.plans.profile_queries import typed_titles
 from reelforge.plans.registry import query
-from reelforge.sources.files import pair_columns, wide_line_rejects, wide_lines_to_long
+from reelforge.sources.files import pair_columns, read_columnar_credits, wide_line_rejects, wide_lines_to_long
 
 SNAKE = [name.lower().replace(" ", "_") for name in GENRES]
 
@@ -240,6 +240,19 @@ def columnar_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_columns(files, "file", "movies", "people").select("file", F.col("first").alias("movie"), F.col("second").alias("director"))
 
 
+@query("columnar_files", """
+SELECT 'tt' || o_orderkey AS movie, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority || ', "' || o_orderkey % 9 || '"' END AS director FROM orders""")
+def columnar_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one object ``{column: {index: value}}`` each, written from the orders and read by byte ranges; names hold commas and quotes."""
+    path, k = staging_path(spark, "columnar"), F.col("o_orderkey")
+    person = F.concat("o_orderpriority", F.lit(', "'), (k % 9).cast("string"), F.lit('"'))
+    objects = table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority").groupBy(F.floor(k / 5000).alias("_file")).agg(F.to_json(F.struct(
+        F.map_from_entries(F.collect_list(F.struct(k.cast("string"), title_id("o_orderkey")))).alias("movie"),
+        F.map_from_entries(F.collect_list(F.when(k % 7 != 0, F.struct(k.cast("string"), person)))).alias("director"))).alias("value"))
+    objects.write.partitionBy("_file").text(path)
+    return read_columnar_credits(spark, f"{path}/*", "director")
+
+
 @query("features_incremental", f"""
 WITH {V.DOCUMENTS} SELECT tconst, popularity, continent, action, comedy, drama, science_fiction, tv_movie, war FROM features""")
 def features_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from reelforge.functions import missing, nested, text
 from reelforge.operators.documents import document_map_rows, id_map_rows
 from reelforge.operators.durable import broadcast_if_small, settle
 from reelforge.operators.hygiene import sentinels_to_null
+from reelforge.operators.runs import ROWS_PER_BUCKET, asof_join, running_sums
 
 
 def _title_lines(spark: SparkSession, path: str, split: str, skip_files: str | None) -> DataFrame:
@@ -66,20 +67,41 @@ def read_credits(spark: SparkSession, path: str, person: str) -> DataFrame:
     )
 
 
+def read_columns(spark: SparkSession, path: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """JSON files of the layout ``{column: {index: value}}`` as rows ``(file, column, index, value)``.
+
+    The text reader cuts such a file at its commas and so hands it to many tasks by byte range, however large the one object
+    in it is. Two running sums over the pieces of a file put it together again: an odd number of quotes before a piece
+    says that it goes on with a text that holds a comma, and such pieces are joined to the entry that they belong to. Entries are told their
+    column by the last one before them that opens one. Values are texts; null is null.
+    """
+    pieces = spark.read.text(path, lineSep=",").select(
+        F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("at"), "value")
+    quotes = F.length(F.regexp_replace(F.regexp_replace("value", r"\\.", ""), '[^"]', ""))
+    counted = running_sums(pieces, ["file"], "at", {"quotes": quotes}, rows_per_bucket)
+    begun = running_sums(counted, ["file"], "at", {"entry": F.when(F.col("quotes") % 2 == 0, 1).otherwise(0)}, rows_per_bucket)
+    number = F.col("entry") + F.when(F.col("quotes") % 2 == 0, 1).otherwise(0)
+    entries = begun.groupBy("file", number.alias("entry")).agg(
+        F.array_join(F.sort_array(F.collect_list(F.struct("at", "value")))["value"], ",").alias("text"))
+    opening = r'^\s*\{?\s*"((?:[^"\\]|\\.)*)"\s*:\s*\{'
+    opens = F.col("text").rlike(opening)
+    headers = entries.where(opens).select("file", "entry", F.regexp_extract("text", opening, 1).alias("column"))
+    named = asof_join(entries, headers, ["file"], "entry", ["column"], rows_per_bucket=rows_per_bucket)
+    rest = F.regexp_replace(F.regexp_replace("text", opening, ""), r"\s*\}\s*(\}\s*)?$", "")
+    pairs = F.map_entries(F.from_json(F.concat(F.lit("{"), rest, F.lit("}")), "map<string,string>"))
+    return named.select("file", F.col("column_asof").alias("column"), F.explode(pairs).alias("_pair")).select(
+        "file", "column", F.col("_pair.key").alias("index"), F.col("_pair.value").alias("value"))
+
+
 def read_columnar_credits(spark: SparkSession, path: str, person: str) -> DataFrame:
-    """Credits from the layout ``{column: {index: value}}``, one JSON object per file.
+    """Credits from the layout ``{column: {index: value}}``, one JSON object per file, however large; both documented sets of names.
 
-    Such an object cannot be split, so a file is read by one task; a folder of files is read in parallel.
-    Large tables belong in JSON lines.
+    An index of the title's column keeps its row where no person has it.
     """
-    text = "map<string,string>"
-    fields = ", ".join(f"{name} {text}" for name in ("movie", "tconst", person, f"{person}_id"))
-    files = spark.read.schema(fields).json(path, multiLine=True).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.coalesce("movie", "tconst").alias("movies"),
-        F.coalesce(person, f"{person}_id").alias("people"),
-    )
-    return pair_columns(files, "file", "movies", "people").select(F.col("first").alias("movie"), F.col("second").alias(person))
+    cells = settle(read_columns(spark, path), "columns")
+    titles = cells.where(F.col("column").isin("movie", "tconst")).select("file", "index", F.col("value").alias("movie"))
+    people = cells.where(F.col("column").isin(person, f"{person}_id")).select("file", "index", F.col("value").alias(person))
+    return titles.join(people, ["file", "index"], "left").select("movie", person)
 
 
 def pair_columns(rows: DataFrame, key: str, first: str, second: str) -> DataFrame:

@@ -205,6 +205,25 @@ def test_series_of_any_width_and_header(spark):
     assert rejects == {("a", "not a number"), ("a", "more cells than the header"), ("a", "no date"), ("b", "no header")}
 
 
+def test_one_object_is_read_by_many_tasks(spark, tmp_path):
+    """One large object, cut at commas and put together again, commas and quotes inside texts too."""
+    names = {str(i): [f"n{i}", f"a, b {i}", 'say "x, y"', "back\\\\", '\\\\",', "{,}", "é, 漢", "", None][i % 9] for i in range(400)}
+    movies = {str(i): f"tt{i}" for i in range(0, 400)}
+    (tmp_path / "one.json").write_text(json.dumps({"tconst": movies, "writer_id": names, "empty": {}}))
+    (tmp_path / "two.json").write_text(json.dumps({"movie": {"5": "x, y"}, "writer": {}}, indent=2) + "\n")
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "600")
+        assert spark.read.text(str(tmp_path / "one.json"), lineSep=",").rdd.getNumPartitions() > 10
+        found = sources.read_columns(spark, str(tmp_path), rows_per_bucket=50)
+        rows = {(r.file.rsplit("/", 1)[1], r.column, r["index"]): r.value for r in found.collect()}
+        credits = sources.read_columnar_credits(spark, str(tmp_path), "writer").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    assert rows == {**{("one.json", "tconst", i): v for i, v in movies.items()}, **{("one.json", "writer_id", i): v for i, v in names.items()}, ("two.json", "movie", "5"): "x, y"}
+    assert sorted(map(tuple, credits), key=repr) == sorted([(movies[i], names[i]) for i in movies] + [("x, y", None)], key=repr)
+
+
 def test_one_line_of_many_cells_costs_no_other_file_anything(spark):
     lines = [("a", "date,x,y"), ("a", "2020-01-05,1,2"), ("a", "2020-01-06," + "7," * 50_000 + "8"), ("b", 'date,"q, ""z"""'), ("b", "2020-01-07,4"),
              ("b", '"2020-01-08","5"'), ("b", "2020-01-09,,,,"), ("b", '2020-01-10,"open'), ("b", None), ("b", "")]

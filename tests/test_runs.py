@@ -150,3 +150,15 @@ def test_sketches_merge_and_keep_their_error(spark):
             assert abs(report[name].n_distinct - exact) <= 4 * sketches.STANDARD_ERROR * exact
         assert report["odd name"].heavy[0].asDict() == {"value": "often", "n": 20_000}
     assert {r.n_rows for r in sketches.sketch_report(sketches.column_sketches(rows.limit(0))).collect()} == {0}
+
+
+@pytest.mark.parametrize("rows_per_bucket", [9, 1_000_000])
+def test_running_sums_match_a_scan(spark, rows_per_bucket):
+    draw = random.Random(9)
+    rows = [(i, draw.choice(["hot", "hot", "hot", "a", None]), draw.randrange(5)) for i in range(200)]
+    found = runs.running_sums(spark.createDataFrame(rows, "t int, k string, v int"), ["k"], "t", {"n": F.lit(1), "total": F.col("v")}, rows_per_bucket)
+    before, expected = defaultdict(lambda: (0, 0)), []
+    for t, k, v in rows:
+        expected.append((t, k, v, *before[k]))
+        before[k] = (before[k][0] + 1, before[k][1] + v)
+    assert sorted(tuple(r) for r in found.where("k IS NOT NULL").collect()) == sorted(row for row in expected if row[1] is not None)
