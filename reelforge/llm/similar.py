@@ -251,10 +251,10 @@ pairs AS (
 links AS (
     SELECT a, b FROM pairs JOIN sets x ON x.row_no = a JOIN sets y ON y.row_no = b
     WHERE shared::DOUBLE / (len(x.grams) + len(y.grams) - shared) >= {LEAST}),
-both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-reach AS (SELECT row_no AS a, row_no AS b FROM sets UNION SELECT r.a, e.b FROM reach r JOIN both e ON e.a = r.b),
+two_way AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT row_no AS a, row_no AS b FROM sets UNION SELECT r.a, e.b FROM reach r JOIN two_way e ON e.a = r.b),
 classes AS (SELECT a AS row_no, min(b) AS class FROM reach GROUP BY a),
-degrees AS (SELECT a AS row_no, count(*) AS n FROM both GROUP BY a)
+degrees AS (SELECT a AS row_no, count(*) AS n FROM two_way GROUP BY a)
 SELECT doc_id, first_value(doc_id) OVER same AS class_id, coalesce(n, 0) AS n_links, row_number() OVER same = 1 AS kept
 FROM sets JOIN classes USING (row_no) LEFT JOIN degrees USING (row_no) WINDOW same AS (PARTITION BY class ORDER BY doc_id NULLS FIRST, row_no)
 """
