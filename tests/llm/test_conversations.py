@@ -141,7 +141,7 @@ def test_one_conversation_of_most_rows(spark):
     rows += [(1, 7, "user", "ok.")] * 200
     turns = spark.createDataFrame(rows, SCHEMA)
     whole, cut = result_of(c.repair_report(turns)), result_of(c.repair_report(turns, piece=100))
-    assert whole == cut and whole[2]["audit"] == "KI"
+    assert whole == cut and whole[2]["audit"] == "D"
 
 
 def test_dropped_and_empty(spark):
