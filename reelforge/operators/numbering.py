@@ -13,11 +13,13 @@ def with_position(df: DataFrame, order_by: str, alias: str = "position", buckets
 
     The rows are dealt by range into buckets of about ``ROWS_PER_BUCKET`` rows, as many as that takes, and stored with their
     bucket, so that a retried task finds every row where it was. Rows are numbered inside their bucket, and the sizes of
-    the earlier buckets are added; only the table of bucket sizes is summed in one task. Counts ``df`` first; settle it if
-    it is costly to compute.
+    the earlier buckets are added; only the table of bucket sizes is summed in one task. Rows that fit one bucket are sorted and
+    numbered as they are. Counts ``df`` first; settle it if it is costly to compute.
     """
     if buckets is None:
         buckets = df.count() // ROWS_PER_BUCKET + 1
+        if buckets == 1:
+            return df.repartition(1).sortWithinPartitions(order_by).withColumn(alias, F.monotonically_increasing_id())
     bucketed = settle(df.repartitionByRange(max(1, buckets), order_by).withColumn("_bucket", F.spark_partition_id()))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = settle(

@@ -3,14 +3,14 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelforge.constants import ACCENT_MAP
+from reelforge.constants import ACCENT_MAP, ALLOWED_CHARS
 from reelforge.functions import text
 from reelforge.operators import census
 from reelforge.plans.bindings import table
 from reelforge.plans.registry import query
 
 KEYS, LETTERS = "".join(ACCENT_MAP), "".join(ACCENT_MAP.values())
-OUTSIDE = r"""'[^a-zA-Z0-9 ,°!?@#$%&:;+~_/\-"''\^\*\(\)\.\[\]]'"""
+OUTSIDE = "'[^" + ALLOWED_CHARS.replace("'", "''") + "]'"
 CHARS = f"chars AS (SELECT doc_id, unnest(regexp_extract_all(text, {OUTSIDE})) AS ch FROM documents)"
 LETTER = "strip_accents(ch) ~ '^[a-zA-Z]$'"
 
