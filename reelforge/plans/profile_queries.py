@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelforge.functions import missing
-from reelforge.operators import hygiene, profile, sketches
+from reelforge.operators import hygiene, moments, profile, sketches
 from reelforge.operators.documents import genre_rollup
 from reelforge.operators.durable import settle
 from reelforge.plans import sql_views as V
@@ -230,3 +230,21 @@ def sketch_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = F.array_join(F.sort_array(F.transform("heavy", lambda x: F.concat(x["value"], F.lit("="), x["n"].cast("string")))), ";")
     return report.join(exact.select("column", F.col("n_distinct").alias("exact")), "column").select(
         "column", "n_rows", "n_null", within.alias("distinct_within"), F.when(F.col("column").isin(*LISTED), items).alias("heavy"))
+
+
+DIMENSIONS = 24
+
+
+@query("wide_correlations", f"""
+WITH long AS (SELECT vec_id, i, CASE WHEN (vec_id + i) % 13 = 0 THEN NULL ELSE embedding[i + 1]::DOUBLE + i END AS x FROM embeddings, range({DIMENSIONS}) AS dims(i))
+SELECT 'e' || a.i AS column_a, 'e' || b.i AS column_b, count(*) FILTER (a.x IS NOT NULL AND b.x IS NOT NULL) AS n, round(corr(a.x, b.x), 6) AS correlation
+FROM long a JOIN long b ON a.vec_id = b.vec_id AND a.i < b.i GROUP BY a.i, b.i""")
+def wide_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Correlations of all pairs of 24 columns of the vectors, some values missing, from the states of two parts merged."""
+    vectors, names = table(spark, sf_dir, "embeddings", "vec_id", "embedding"), [f"e{i}" for i in range(DIMENSIONS)]
+    wide = vectors.select("vec_id", *[
+        F.when((F.col("vec_id") + i) % 13 != 0, F.col("embedding")[i].cast("double") + i).alias(name) for i, name in enumerate(names)])
+    shift = [float(i) for i in range(DIMENSIONS)]
+    parts = [moments.moment_states(wide.where(F.col("vec_id") % 2 == part), names, shift) for part in (0, 1)]
+    found = moments.correlations(moments.merged_moments(parts[0].unionByName(parts[1])), names)
+    return found.withColumn("correlation", F.round("correlation", 6))

@@ -4,7 +4,7 @@ import pytest
 
 from reelforge.plans.catalog import QUERIES
 
-PYTHON_STEPS = {"unknown_char_map", "knn_impute", "knn_embeddings"}
+PYTHON_STEPS = {"unknown_char_map", "knn_impute", "knn_embeddings", "wide_correlations"}
 FITTED = {"rf_predictions", "rf_alignment", "logreg_predictions", "logreg_evaluation", "cv_grid", "auc_eval", "rf_quality", "logreg_optimum", "accuracy_ladder"}
 
 

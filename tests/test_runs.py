@@ -3,10 +3,11 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reelforge.operators import intervals, joins, runs, sketches
+from reelforge.operators import intervals, joins, moments, runs, sketches
 
 
 def drawn(seed, n, keys, most):
@@ -162,3 +163,28 @@ def test_running_sums_match_a_scan(spark, rows_per_bucket):
         expected.append((t, k, v, *before[k]))
         before[k] = (before[k][0] + 1, before[k][1] + v)
     assert sorted(tuple(r) for r in found.where("k IS NOT NULL").collect()) == sorted(row for row in expected if row[1] is not None)
+
+
+def test_moments_match_numpy_and_merge(spark):
+    random_ = np.random.default_rng(2)
+    matrix = random_.normal(size=(500, 30)) @ random_.normal(size=(30, 30)) + 1e6 * np.arange(30)
+    matrix[random_.random(matrix.shape) < 0.1] = np.nan
+    matrix[:, 4] = 7.0
+    matrix[3, 5], matrix[:, 6] = np.inf, np.nan
+    names = [f"a {i}" for i in range(30)]
+    frame = spark.createDataFrame([tuple(map(float, row)) for row in matrix], ", ".join(f"`{name}` double" for name in names)).repartition(7)
+    whole = moments.moment_states(frame, names)
+    found = {(r.column_a, r.column_b): (r.n, r.correlation) for r in moments.correlations(moments.merged_moments(whole), names).collect()}
+    assert len(found) == 30 * 29 // 2
+    clean = np.where(np.isfinite(matrix), matrix, np.nan)
+    for (a, b), (n, value) in found.items():
+        x, y = clean[:, names.index(a)], clean[:, names.index(b)]
+        both = ~np.isnan(x) & ~np.isnan(y)
+        assert n == both.sum()
+        expected = None if not both.any() or np.ptp(x[both]) == 0 or np.ptp(y[both]) == 0 else np.corrcoef(x[both], y[both])[0, 1]
+        assert value == (None if expected is None else pytest.approx(expected, abs=1e-9))
+    shift = whole.first()["shift"]
+    parts = [moments.moment_states(frame.where(condition), names, shift) for condition in ("`a 0` > 0", "NOT `a 0` > 0 OR `a 0` IS NULL")]
+    again = moments.correlations(moments.merged_moments(parts[0].unionByName(parts[1])), names)
+    assert {(r.column_a, r.column_b): r.n for r in again.collect()} == {pair: n for pair, (n, _) in found.items()}
+    assert moments.correlations(moments.merged_moments(moments.moment_states(frame.limit(0), names)), names).where("n > 0").count() == 0
