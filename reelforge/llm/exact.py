@@ -58,6 +58,7 @@ def exact_duplicates(docs: DataFrame, digest: Column | None = None, salts: int =
 
 
 def op6_exact_dedup(spark, sf_dir: str) -> DataFrame:
+    """Groups of equal texts in ``documents``, and which row of each stays."""
     return exact_duplicates(documents(spark, sf_dir))
 
 

@@ -188,7 +188,9 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def identify(docs: DataFrame) -> DataFrame:
     """``_doc`` (all columns of ``docs``), ``doc_id``, ``held_out``, ``lang_pred`` and ``score``.
 
-    Learned from the labelled rows of ``docs`` that are not held out; a null id is neither held out nor learned from.
+    Learned from the labelled rows of ``docs`` that are not held out; a null id is neither held out nor learned from. Null
+    texts and texts without letters are ``und``; texts of any length are read whole; rows that repeat an id or a text have a row each;
+    an empty table gives no rows.
     """
     filters = learn(docs.where(~held_out() & F.col("doc_id").isNotNull()))
     guess = predicted(F.col("text"), docs.sparkSession, filters)
@@ -197,7 +199,11 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def in_known_language(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """The documents of a language that was learned: others, and texts without letters, go. Columns stay."""
+    """The documents of a language that was learned: others, and texts without letters, null ones among them, go.
+
+    A document stays if its best language holds at least ``least`` of its trigrams. Columns stay, whatever their names; rows that repeat
+    another stay or go with it.
+    """
     return identify(docs).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("_doc.*")
 
 

@@ -168,7 +168,8 @@ def licence_hits(docs: DataFrame, templates: tuple = TEMPLATES, least: float = L
     template with the largest Dice coefficient of at least ``least`` (ties: the name first in order). A template is compared
     only with units whose number of bigrams can reach it: Dice is at most 2 min / (a + b). Texts and units that hold none of
     the templates' telling words are left out before they are cut into bigrams; none of them can reach ``least``. Null and empty texts, and
-    units of one word, have no hits. Rows that repeat ``doc_id`` and text count as one.
+    units of one word, have no hits. Rows that repeat ``doc_id`` and text count as one; texts of any length are searched
+    whole; other columns are not read, whatever their names; an empty table gives no rows.
 
     Notices that are wrapped or stand within a longer line, and the ``full`` licence texts, are found as windows of words
     (``window_hits``). A window's unit is the line where it begins. Windows do not overlap, and a notice that a line or

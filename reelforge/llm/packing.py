@@ -146,5 +146,6 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY
 
 
 def op4_best_fit_packing(spark, sf_dir: str) -> DataFrame:
+    """Where each piece of each of ``documents`` goes in sequences of 4,096 tokens."""
     packed = pack(documents(spark, sf_dir))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

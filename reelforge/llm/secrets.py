@@ -88,7 +88,9 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``doc_id``, ``_text`` and ``found``: the spans ``(start, end, kind)`` of all rules, per document, unordered.
 
     Null text is the empty text. Rules that name mandatory trigrams read only the candidates that the index gives; the
-    others read every text. Rows that repeat ``doc_id`` and text get the same spans; an empty table gives no rows.
+    others read every text. Texts of any length are matched whole. Spans of one kind never overlap: the leftmost counts; spans of
+    different kinds may, and each is kept. Rows that repeat ``doc_id`` and text get the same spans; other columns are not read; an
+    empty table gives no rows.
     """
     indexed = tuple(rule for rule in rules if trigram_query(rule.pattern) is not None)
     scanned = tuple(rule for rule in rules if rule not in indexed)
@@ -128,6 +130,7 @@ def _joined(found: Column, kinds: list[str]) -> Column:
 
 
 def op3_secret_scan(spark, sf_dir: str) -> DataFrame:
+    """Numbers and spans of secrets in every text of ``documents``."""
     found = find_secrets(documents(spark, sf_dir))
     base, every = [r.kind for r in BASE], [r.kind for r in RULES]
     ours = F.filter("found", lambda s: s["kind"].isin(*base))

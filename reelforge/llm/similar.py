@@ -158,7 +158,8 @@ def similar_documents(docs: DataFrame, n: int = NGRAM, least: float = LEAST, rec
     Texts are lower-cased. Two documents are linked if the Jaccard similarity of their sets of word n-grams is at least
     ``least``; ``n_links`` counts a document's links, copies too. A class is a connected component of links; ``class_id`` is its
     smallest ``doc_id`` and that document is ``kept`` (of rows that repeat it, one). Null ids come first. Texts without
-    words, null among them, are linked with nothing and kept. An empty table gives no rows.
+    words, null among them, are linked with nothing and kept. Texts of any length are compared whole; other columns are not
+    read, whatever their names. An empty table gives no rows.
 
     Documents with equal sets are one class from the start and travel as one. Classes meet where a band's key is
     equal. What meets is cut into blocks of about ``BLOCK_NGRAMS`` n-grams by the largest bucket of each class, so that
