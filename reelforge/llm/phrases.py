@@ -19,7 +19,7 @@ LEAST = 30
 MOST = 2000
 COVER = 80
 SCALE = 2_000_000
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 LEAST_BITS = 1 << 20
 MOST_BITS = 1 << 30  # 128 MB: a fuller bitmap only lets more pairs through
 RANKED_AT_ONCE = 50_000
@@ -35,7 +35,7 @@ _LOWER[65:91] += 32
 
 
 def _blocks(batch, hasher: Hasher):
-    """Runs of whole texts of about a MB: their bytes, words (start, end, hash), row of each word, and which words have a next one in their piece."""
+    """Runs of whole texts of about half a MB: their bytes, words (start, end, hash), row of each word, and which words have a next one in their piece."""
     raw, limits = utf8(batch.column("text"))
     first = 0
     while first < len(limits) - 1:
@@ -265,7 +265,7 @@ def collocations(docs: DataFrame, least: int = LEAST, most: int = MOST) -> DataF
     """The first ``most`` phrases of each language by score: ``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``.
 
     Null ``lang`` is ``und``; null and empty texts have no words; texts of any length are read whole, in blocks of whole texts
-    of about a MB; rows that repeat an id or a text count each; other columns are not read. Ties go to the larger count, then
+    of about half a MB; rows that repeat an id or a text count each; other columns are not read. Ties go to the larger count, then
     to the phrase that comes first in byte order. An empty table gives no rows. Counts are longs, products decimals of 38 digits.
     """
     edges = longest_grams(docs, least)
