@@ -111,7 +111,8 @@ def _estimates(rows: DataFrame, names: list[str], k: int, patterns: list[int]) -
         ", ".join(["question long", "cell long", *[f"q_{x} double" for x in names], "weight double", "radius double"]),
     )
     squares = sum((_square(F.col(f"q_{x}") - F.col(x)) for x in names[1:]), _square(F.col(f"q_{names[0]}") - F.col(names[0])))
-    near = reach.join(placed, "cell").select(
+    # merged: the planner takes the size of the questions' file for that of their cells, and would broadcast those by way of the driver
+    near = reach.hint("merge").join(placed, "cell").select(
         "question", "donor", "value", "radius", (F.col("weight") * squares).alias("distance")
     ).where(F.col("distance") <= F.col("radius"))
     nearest = Window.partitionBy("question").orderBy("distance", "donor")
@@ -119,8 +120,8 @@ def _estimates(rows: DataFrame, names: list[str], k: int, patterns: list[int]) -
         near.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
         .groupBy("question").agg(F.avg("value").alias("answer"))
     )
-    answered = questions.join(answers, "question").drop("question")
-    return asked.join(answered, ["unit", *names]).groupBy("key").agg(*[
+    answered = questions.hint("merge").join(answers, "question").drop("question")
+    return asked.hint("merge").join(answered, ["unit", *names]).groupBy("key").agg(*[
         F.max(F.when(F.col("target") == i, F.col("answer"))).alias(f"near_{i}") for i in range(width)
     ])
 

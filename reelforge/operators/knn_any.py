@@ -70,13 +70,14 @@ def estimates(rows: DataFrame, asked: DataFrame, names: list[str], k: int, split
     squares = sum((F.coalesce(g * g, F.lit(0.0)) for g in gap[1:]), F.coalesce(gap[0] * gap[0], F.lit(0.0)))
     shared = sum((g.isNotNull().cast("int") for g in gap[1:]), gap[0].isNotNull().cast("int"))
     value = F.get(F.array(*names), F.col("target"))
-    near = reach.join(placed.drop("mask"), "cell").select(
+    # merged: the planner takes the size of the questions' file for that of their cells, and would broadcast those by way of the driver
+    near = reach.hint("merge").join(placed.drop("mask"), "cell").select(
         "question", "donor", "radius", value.alias("value"), shared.alias("shared"), squares.alias("squares")).where("value IS NOT NULL AND shared > 0")
     near = near.withColumn("distance", F.lit(float(width)) / F.col("shared") * F.col("squares")).where("distance <= radius")
     nearest = Window.partitionBy("question").orderBy("distance", "donor")
     answers = near.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k).groupBy("question").agg(F.avg("value").alias("answer"))
-    answered = questions.join(answers, "question").select(*identity, "answer")
-    return wanted.join(answered, identity).groupBy("key").agg(*[
+    answered = questions.hint("merge").join(answers, "question").select(*identity, "answer")
+    return wanted.hint("merge").join(answered, identity).groupBy("key").agg(*[
         F.max(F.when(F.col("target") == i, F.col("answer"))).alias(f"near_{i}") for i in range(width)])
 
 

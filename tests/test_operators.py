@@ -340,6 +340,20 @@ def test_knn_of_sixty_columns(spark):
     assert knn_matrix(spark, matrix) == pytest.approx(brute_force(matrix, 5))
 
 
+@pytest.mark.parametrize("projected", [0, 64])
+def test_knn_broadcasts_no_questions(spark, monkeypatch, projected):
+    """The cells that questions reach are many times the questions' file, by whose size the planner would broadcast them."""
+    monkeypatch.setattr(knn, "PROJECTED", projected)
+    random = np.random.default_rng(5)
+    matrix = random.random((80, 3))
+    matrix[random.random((80, 3)) < 0.2] = np.nan
+    names = ["a", "b", "c"]
+    frame = spark.createDataFrame(
+        [(i, *[None if np.isnan(v) else float(v) for v in row]) for i, row in enumerate(matrix)], "key long, a double, b double, c double")
+    plan = knn.knn_impute(frame, "key", names)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in plan and "BroadcastExchange" not in plan
+
+
 def test_knn_with_a_coarse_sample(spark, monkeypatch):
     monkeypatch.setattr(knn, "CELL_ROWS", 4)
     monkeypatch.setattr(knn, "SAMPLE_PER_CELL", 1)
