@@ -116,6 +116,20 @@ def test_overlapping_spans_match_all_pairs(spark, joined_how, by):
     assert Counter((r.id, r.id_right) for r in found.collect()) == Counter(expected)
 
 
+@pytest.mark.parametrize("few", [0, 12, 64])
+def test_overlapping_spans_of_small_keys_need_no_bins(spark, few):
+    """All keys in bins, some, and none; where none is, each span is moved once."""
+    rows = spans(8, 90)
+    frame = spark.createDataFrame(rows, "id int, k string, lo long, hi long")
+    found = intervals.overlapping_spans(frame, frame, "lo", "hi", ["k"], few_rows=few)
+    good = [x for x in rows if None not in x and x[2] <= x[3]]
+    expected = [(x[0], y[0]) for x in good for y in good if x[1] == y[1] and x[2] <= y[3] and y[2] <= x[3]]
+    assert Counter((r.id, r.id_right) for r in found.collect()) == Counter(expected)
+    other = intervals.overlapping_spans(frame, frame.where("id % 3 > 0"), "lo", "hi", ["k"], few_rows=few)
+    assert Counter((r.id, r.id_right) for r in other.collect()) == Counter(pair for pair in expected if pair[1] % 3)
+    assert few < 64 or "_level" not in found._jdf.queryExecution().toString()
+
+
 def test_no_nested_loops_and_no_cross_joins(spark):
     frame = spark.createDataFrame(spans(7, 20), "id int, k string, lo long, hi long")
     points = spark.range(50).withColumnRenamed("id", "t")
