@@ -138,19 +138,19 @@ def read_table(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     return table.select(*columns) if columns else table
 
 
-def _wide_cells(lines: DataFrame, source: str, line: str, index: str) -> DataFrame:
-    """Data lines as ``(source, line, cells, names)``; ``names`` is null where the file has no header.
+def _wide_lines(lines: DataFrame, source: str, line: str, index: str) -> DataFrame:
+    """Data lines as ``(source, line, names)``; ``names`` is null where the file has no header.
 
-    A file's header is its line whose first field is ``index``. Every line is cut into as many cells as it has, whatever
-    the others have: a line of many commas costs no other line anything. Only lines that begin like a header are read
-    for the headers.
+    A file's header is its line whose first field is ``index``. Only lines that begin like a header are cut into cells
+    for that: a line of many commas costs no other line anything, and data lines are cut by the caller, once.
     """
     lines = lines.select(F.col(source).alias("source"), F.col(line).alias("line"))
-    cells = lines.withColumn("cells", text.csv_cells("line"))
-    is_header = F.coalesce(F.get("cells", F.lit(0)) == index, F.lit(False))
-    likely = F.col("line").startswith(index) | F.col("line").startswith(f'"{index}"')
-    headers = cells.where(likely).where(is_header).groupBy("source").agg(F.min("cells").alias("names"))
-    return cells.where(~is_header).join(broadcast_if_small(settle(headers)), "source", "left")
+    quoted = '"' + index.replace('"', '""') + '"'
+    likely = F.coalesce(F.col("line").startswith(index) | F.col("line").startswith(quoted), F.lit(False))
+    first = F.get(F.when(likely, text.csv_cells("line")), F.lit(0))
+    is_header = F.coalesce(first == index, F.lit(False))
+    headers = lines.where(likely).where(is_header).groupBy("source").agg(F.min(text.csv_cells("line")).alias("names"))
+    return lines.where(~is_header).join(broadcast_if_small(settle(headers)), "source", "left")
 
 
 def wide_lines_to_long(lines: DataFrame, source: str, line: str, index: str = "date") -> DataFrame:
@@ -159,7 +159,9 @@ def wide_lines_to_long(lines: DataFrame, source: str, line: str, index: str = "d
     ``lines`` holds the raw lines of all files with the file they came from; files may have any number of columns.
     Blank cells and flags are left out; everything else that gives no row is in ``wide_line_rejects``.
     """
-    rows = _wide_cells(lines, source, line, index).where("names IS NOT NULL AND size(cells) <= size(names)")
+    rows = _wide_lines(lines, source, line, index).where("names IS NOT NULL")
+    # the generator keeps filters on the cells from cutting every line once more
+    rows = rows.select("source", "names", F.explode(F.array(text.csv_cells("line"))).alias("cells")).where("size(cells) <= size(names)")
     return (
         rows.select(
             F.col("source").alias(source), F.element_at("cells", 1).try_cast("date").alias("date"),
@@ -171,8 +173,9 @@ def wide_lines_to_long(lines: DataFrame, source: str, line: str, index: str = "d
 
 def wide_line_rejects(lines: DataFrame, source: str, line: str, index: str = "date") -> DataFrame:
     """``(id, line, reason)``: lines of files without a header, longer than their header, without a date, and with cells that are no number or flag."""
-    rows = _wide_cells(lines, source, line, index)
-    words = F.exists(F.slice("cells", F.lit(2), F.size("cells")), lambda cell: ~F.lower(F.trim(cell)).isin("", "true", "false") & cell.try_cast("double").isNull())
+    # the generator keeps filters on the reason from cutting every line once more
+    rows = _wide_lines(lines, source, line, index).select("source", "line", "names", F.explode(F.array(text.csv_cells("line"))).alias("cells"))
+    words = F.exists(F.slice("cells", F.lit(2), F.size("cells")), lambda cell: cell.try_cast("double").isNull() & ~F.lower(F.trim(cell)).isin("", "true", "false"))
     reason = (
         F.when(F.col("names").isNull(), "no header").when(F.size("cells") > F.size("names"), "more cells than the header")
         .when(F.element_at("cells", 1).try_cast("date").isNull(), "no date").when(words, "not a number")

@@ -247,6 +247,34 @@ def test_cells_match_a_csv_reader(spark, line):
     assert [cell or "" for cell in found] == expected
 
 
+ODD_OBJECTS = [
+    '{"a": 1, "b": "x"}', ' {"a":-7,\t"a" : 0}\n', '{"a": ""}', '{"": "y"}', '{}', '{"a": 01}', '{"a": -0}', '{"a": 1.50}', '{"a": 1e3}', '{"a": null, "b": true}',
+    '{"a": "q\\"r"}', '{"a": "t\\u00e9"}', '{"a": "x\ty"}', "{'a': 1}", '{"a": 1,}', '{"a": 1} tail', '{"a" 1}', '{"a": {"b": 1.50, "c": "d, \\"e\\": 2"}}',
+    '{"a": {"b": 1, "c": "d"}, "e": {}}', '{"a": {"vote_count": "x"}, "b": {"genres": 1}, "c": 2.5, "d": "no"}', '{"a": [1, 2]}', '[1]', '"t"', "7", "", " ", "{", None,
+    '{"a": "' + "x" * 3000 + '"}', '{"\u00e9\u6f22": 12345678901234567890}', '{"a": 1}\x0b']
+
+
+def test_entries_cut_by_pattern_are_those_of_the_parser(spark, monkeypatch):
+    rows = spark.createDataFrame([(text,) for text in ODD_OBJECTS], "value string")
+
+    def everything():
+        return [sorted(map(tuple, frame.collect()), key=repr) for frame in (
+            documents.map_entries(rows), documents.id_map_rejects(rows), documents.id_map_rows(rows), documents.document_map_rejects(rows))]
+
+    cut = everything()
+    monkeypatch.setattr(documents, "SHORT_OBJECT", -1)
+    assert cut == everything()
+
+
+def test_objects_and_lines_are_parsed_once(spark):
+    rows = spark.createDataFrame([('{"a": 1}',)], "value string")
+    plan = documents.document_map_rejects(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapType(StringType,StringType,true)") + plan.count("map<string,string>") <= 1 and "Union" not in plan
+    lines = spark.createDataFrame([("a", "date,x"), ("a", "2020-01-05,1")], "file string, text string")
+    plan = sources.wide_line_rejects(lines, "file", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1
+
+
 def test_one_bad_entry_loses_nothing_else(spark):
     rows = spark.createDataFrame([('{"b": 2, "c": "x", "d": null}',), ("{broken",), (None,)], "value string")
     assert rows_of(documents.id_map_rows(rows), "imdb_id") == [("b", 2)]
