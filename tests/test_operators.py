@@ -1,6 +1,7 @@
 """Table operators: quirks, hot keys, and comparison with brute force."""
 
 import math
+import re
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from reelforge.operators import census, credits, documents, hygiene, impute, joins, knn, knn_any, numbering, profile, quantiles, series
+from reelforge.plans import model_queries
 
 
 def rows_of(frame, *order):
@@ -280,6 +282,35 @@ def test_scaling_fitted_on_one_frame_used_on_another(spark):
     assert [r[0] for r in impute.scale_min_max(other, ["v"], impute.scaling(train, ["v"])).collect()] == [0.5, 2.0]
 
 
+def test_scaling_many_columns_stays_compiled(spark, tmp_path):
+    """The JVM does not compile a method of over 8,000 bytes: six columns scaled twice in the regressions were one, run byte by byte."""
+    names = [f"c{i}" for i in range(6)]
+    spark.range(100).select(*[(F.col("id") % (i + 2)).cast("double").alias(name) for i, name in enumerate(names)]).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan shows no code before it has run
+    try:
+        code = impute.scale_both(rows, names, impute.scaling(rows, names))._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000, sizes
+
+
+def test_scaled_parts_store_what_a_fit_reads_again(spark):
+    rows = spark.range(50).select(
+        F.concat(F.lit("tt"), "id").alias("tconst"), (F.col("id") % 2).cast("double").alias(model_queries.model.LABEL_INDEX),
+        F.col("id").cast("double").alias("v"), F.lit(3.0).alias("c"))
+    train, held_out, inputs = model_queries.scaled_parts(rows.where("id < 40"), rows.where("id >= 40"), ["v", "c"])
+    assert inputs == ["v_minmax", "c_minmax", "v_standard", "c_standard"]
+    plan = train._jdf.queryExecution().executedPlan().toString()
+    assert "CASE" not in plan and "Subquery" not in plan
+    expected = impute.scale_both(rows.where("id < 40"), ["v", "c"]).select(model_queries.model.LABEL_INDEX, *inputs)
+    assert train.exceptAll(expected).count() == 0 and train.count() == 40
+    last = held_out.orderBy(F.col("id").desc()).first()
+    assert last["v_minmax"] == pytest.approx(49 / 39) and last["c_standard"] == 0.0
+
+
 def brute_force(matrix: np.ndarray, k: int) -> np.ndarray:
     filled = matrix.copy()
     rows, width = matrix.shape
