@@ -14,8 +14,8 @@ How the work is cut down:
   splits taken from a sample of bounded size; the sample places the borders and nothing else.
 * Counts and bounding boxes of the cells (at most ``MAX_CELLS`` plus one per family) are known to every
   task. Questions are cut into blocks of neighbours; a block's bounding box leaves out the cells that none of its questions
-  can need. For each question the others give a radius that surely holds k donors; only cells that meet it are
-  joined, and only donors inside it are ranked.
+  can need. For each question the others give a radius that surely holds k donors; it is sent
+  only to cells that meet it, and ``knn_cells`` finds the k nearest of each.
 """
 
 from math import ceil, sqrt
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from reelforge.constants import NEIGHBOURS
 from reelforge.functions.missing import nan_to_null
-from reelforge.operators import knn_any
+from reelforge.operators import knn_any, knn_cells
 from reelforge.operators.durable import settle
 
 MOST_COLUMNS = 40  # a family's number holds a bit per column beside that of its unit
@@ -108,26 +108,30 @@ def _estimates(rows: DataFrame, names: list[str], k: int, patterns: list[int]) -
 
     reach = questions.mapInPandas(
         _cells_in_reach(_cells_by_unit(boxes, names), names, k),
-        ", ".join(["question long", "cell long", *[f"q_{x} double" for x in names], "weight double", "radius double"]),
-    )
-    squares = sum((_square(F.col(f"q_{x}") - F.col(x)) for x in names[1:]), _square(F.col(f"q_{names[0]}") - F.col(names[0])))
-    # merged: the planner takes the size of the questions' file for that of their cells, and would broadcast those by way of the driver
-    near = reach.hint("merge").join(placed, "cell").select(
-        "question", "donor", "value", "radius", (F.col("weight") * squares).alias("distance")
-    ).where(F.col("distance") <= F.col("radius"))
-    nearest = Window.partitionBy("question").orderBy("distance", "donor")
-    answers = (
-        near.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
-        .groupBy("question").agg(F.avg("value").alias("answer"))
+        ", ".join(["question long", "cell long", *[f"q_{x} double" for x in names], "aside double", "radius double"]),
     )
+    answers = knn_cells.answers(reach, placed, names, k, *_comparison(width))
     answered = questions.hint("merge").join(answers, "question").drop("question")
     return asked.hint("merge").join(answered, ["unit", *names]).groupBy("key").agg(*[
         F.max(F.when(F.col("target") == i, F.col("answer"))).alias(f"near_{i}") for i in range(width)
     ])
 
 
-def _square(difference):
-    return difference * difference
+def _comparison(width: int):
+    """Distances of questions and projected donors, weighted by ``aside``, and the donors' values."""
+
+    # local, so that they travel to the workers by value
+    def distances(questions, aside, donors):
+        squares = np.zeros((len(questions), len(donors)))
+        for i in range(width):
+            gap = questions[:, i, None] - donors[None, :, i]
+            squares += gap * gap
+        return aside[:, None] * squares
+
+    def values(aside, value, donors, who, which):
+        return value[which]
+
+    return distances, values
 
 
 def _donors(rows: DataFrame, unit_list, names: list[str], k: int) -> DataFrame:
@@ -298,7 +302,7 @@ def _cells_in_reach(by_unit: dict[int, tuple], names: list[str], k: int):
                         yield pd.DataFrame({
                             "question": numbers[rows[start : start + step]][who], "cell": cells[which],
                             **{f"q_{x}": near[:, i] for i, x in enumerate(names)},
-                            "weight": weight[which], "radius": radius[who],
+                            "aside": weight[which], "radius": radius[who],
                         })
 
     return reach

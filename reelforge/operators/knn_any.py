@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelforge.operators import knn_cells
 from reelforge.operators.durable import settle
 
 CELL_ROWS = 64
@@ -66,21 +67,33 @@ def estimates(rows: DataFrame, asked: DataFrame, names: list[str], k: int, split
 
     reach = questions.drop("mask", *[f"z_{x}" for x in names]).mapInPandas(
         _cells_in_reach(_levels(boxes, names), names, k), ", ".join(["question long", "cell long", "radius double", "target int", *[f"q_{x} double" for x in names]]))
-    gap = [F.col(f"q_{x}") - F.col(x) for x in names]
-    squares = sum((F.coalesce(g * g, F.lit(0.0)) for g in gap[1:]), F.coalesce(gap[0] * gap[0], F.lit(0.0)))
-    shared = sum((g.isNotNull().cast("int") for g in gap[1:]), gap[0].isNotNull().cast("int"))
-    value = F.get(F.array(*names), F.col("target"))
-    # merged: the planner takes the size of the questions' file for that of their cells, and would broadcast those by way of the driver
-    near = reach.hint("merge").join(placed.drop("mask"), "cell").select(
-        "question", "donor", "radius", value.alias("value"), shared.alias("shared"), squares.alias("squares")).where("value IS NOT NULL AND shared > 0")
-    near = near.withColumn("distance", F.lit(float(width)) / F.col("shared") * F.col("squares")).where("distance <= radius")
-    nearest = Window.partitionBy("question").orderBy("distance", "donor")
-    answers = near.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k).groupBy("question").agg(F.avg("value").alias("answer"))
+    answers = knn_cells.answers(
+        reach.withColumn("aside", F.col("target")), placed.withColumn("value", F.lit(None).cast("double")), names, k, *_comparison(width))
     answered = questions.hint("merge").join(answers, "question").select(*identity, "answer")
     return wanted.hint("merge").join(answered, identity).groupBy("key").agg(*[
         F.max(F.when(F.col("target") == i, F.col("answer"))).alias(f"near_{i}") for i in range(width)])
 
 
+def _comparison(width: int):
+    """Distances over the columns that questions and donors share, infinite without any or without the target, and the donors' values."""
+
+    # local, so that they travel to the workers by value
+    def distances(questions, aside, donors):
+        squares, shared = np.zeros((len(questions), len(donors))), np.zeros((len(questions), len(donors)))
+        for i in range(width):
+            gap = questions[:, i, None] - donors[None, :, i]
+            both = ~np.isnan(gap)
+            squares += np.where(both, gap * gap, 0.0)
+            shared += both
+        counts = (shared > 0) & ~np.isnan(donors[:, aside.astype(int)].T)
+        return np.where(counts, width / np.maximum(shared, 1) * squares, np.inf)
+
+    def values(aside, value, donors, who, which):
+        return donors[which, aside.astype(int)[who]]
+
+    return distances, values
+
+
 def _trees(donors: DataFrame, families: list[str], names: list[str], cell_rows: int, total: int, split) -> dict[str, tuple]:
     """A tree per family from a sample of about ``SAMPLE_PER_CELL`` donors per cell; it places borders and nothing else."""
     fraction = min(1.0, SAMPLE_PER_CELL / cell_rows)

@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from reelforge.operators import census, credits, documents, hygiene, impute, joins, knn, knn_any, numbering, profile, quantiles, series
+from reelforge.operators import census, credits, documents, hygiene, impute, joins, knn, knn_any, knn_cells, numbering, profile, quantiles, series
 from reelforge.plans import model_queries
 
 
@@ -385,6 +385,36 @@ def test_knn_broadcasts_no_questions(spark, monkeypatch, projected):
     assert "MapInPandas" in plan and "BroadcastExchange" not in plan
 
 
+@pytest.mark.parametrize("projected", [0, 64])
+def test_knn_joins_no_pairs(spark, monkeypatch, projected):
+    """All pairs of a question and a donor of its cells were rows of a join, sorted to be ranked: 40 GB on the disk at 60 times sf0.1."""
+    monkeypatch.setattr(knn, "PROJECTED", projected)
+    frame = spark.createDataFrame([(i, i / 9 if i % 4 else None, i % 5 + 0.5) for i in range(60)], "key long, a double, b double")
+    plan = knn.knn_impute(frame, "key", ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and not any("cell#" in line for line in joins)
+    assert "MapInArrow" in plan
+
+
+@pytest.mark.parametrize("projected", [0, 64])
+def test_knn_with_text_keys_in_small_batches(spark, monkeypatch, projected):
+    """Few rows and pairs at a time, one value that is as near as others many times: the smaller keys are taken."""
+    monkeypatch.setattr(knn, "PROJECTED", projected)
+    monkeypatch.setattr(knn_cells, "PAIRS", 50)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        random = np.random.default_rng(6)
+        matrix = np.round(random.random((150, 3)), 1)
+        matrix[random.random((150, 3)) < 0.15] = np.nan
+        data = [(f"k{i:03}", *[None if np.isnan(v) else float(v) for v in row]) for i, row in enumerate(matrix)]
+        frame = spark.createDataFrame(data, "key string, a double, b double, c double").repartition(3)
+        filled = knn.knn_impute(frame, "key", ["a", "b", "c"]).orderBy("key").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [row.key for row in filled] == [row[0] for row in data]
+    assert np.array([tuple(row)[1:] for row in filled], dtype=float) == pytest.approx(brute_force(matrix, 5))
+
+
 def test_knn_with_a_coarse_sample(spark, monkeypatch):
     monkeypatch.setattr(knn, "CELL_ROWS", 4)
     monkeypatch.setattr(knn, "SAMPLE_PER_CELL", 1)
